@@ -13,7 +13,7 @@ WORD_EDGE = rf"(?:(?<![{WORD}])(?=[{WORD}])|(?<=[{WORD}])(?![{WORD}]))"
 
 # --- fixed values: personal data and what replaces it ---------------------------
 URL_PATTERN = rf"(?iu)https?://[^{SPACE}]+|www\.[^{SPACE}]+"
-EMAIL_PATTERN = rf"{WORD_EDGE}[{WORD}.+-]+@[{WORD}-]+\.[{WORD}.-]+{WORD_EDGE}"
+EMAIL_PATTERN = rf"{WORD_EDGE}[{WORD}.+-]++@[{WORD}-]++\.[{WORD}.-]+{WORD_EDGE}"
 PHONE_PATTERN = rf"(?<!{DIGIT})\+?{DIGIT}[{DIGIT}{SPACE}().-]{{7,}}{DIGIT}(?!{DIGIT})"
 MENTION_PATTERN = rf"(?<![{WORD}])@[{WORD}]{{3,}}"
 URL_MASK = "<URL>"

@@ -70,6 +70,15 @@ def positive_weight(label: str, counts: ClassCounts) -> Column:
     return F.when(F.col(label) == 1, F.lit(float(counts.pos_weight))).otherwise(F.lit(1.0))
 
 
+# Rows per partition below which splitting a training set costs more than it gains.
+TRAINING_ROWS_PER_PARTITION = 5_000
+
+
+def _compact(ready: DataFrame, rows: int) -> DataFrame:
+    """Few partitions for few rows: every training iteration is a job over all of them."""
+    return ready.coalesce(max(1, -(-rows // TRAINING_ROWS_PER_PARTITION)))
+
+
 @dataclass(frozen=True)
 class FittedClassifier:
     """Feature block and model. ``score`` appends the positive-class probability."""
@@ -109,7 +118,7 @@ class LogisticSpec:
         model = LogisticRegression(
             featuresCol=_VECTOR, labelCol=label, weightCol=_WEIGHT, maxIter=self.max_iter,
             standardization=False, regParam=1.0 / (self.c * counts.rows),
-        ).fit(ready)
+        ).fit(_compact(ready.select(label, _VECTOR, _WEIGHT), counts.rows))
         return FittedClassifier(block, lambda df: _positive(model, df), model)
 
 
@@ -130,9 +139,8 @@ class CalibratedSvmSpec:
         block = self.features.fit(train)
         ready = assign_folds(train, label, self.id_columns, folds, self.seed, "_fold")
         ready = block.transform(ready).withColumn(_WEIGHT, balanced_weight(label, counts))
-        ready = ready.select(label, _VECTOR, _WEIGHT, "_fold").persist(
-            StorageLevel.MEMORY_AND_DISK
-        )
+        ready = _compact(ready.select(label, _VECTOR, _WEIGHT, "_fold"), counts.rows)
+        ready = ready.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             pairs = [self._fit_fold(ready, fold, label, counts) for fold in range(folds)]
         finally:
@@ -184,7 +192,7 @@ class ForestSpec:
         model = RandomForestClassifier(
             featuresCol=_VECTOR, labelCol=label, weightCol=_WEIGHT, numTrees=self.trees,
             minInstancesPerNode=self.min_leaf, maxDepth=self.depth, seed=self.seed,
-        ).fit(ready)
+        ).fit(_compact(ready.select(label, _VECTOR, _WEIGHT), counts.rows))
         return FittedClassifier(block, lambda df: _positive(model, df), model)
 
 
@@ -213,7 +221,7 @@ class BoostedSpec:
             maxDepth=self.depth, stepSize=self.rate, subsamplingRate=self.row_share,
             featureSubsetStrategy=str(self.column_share), minInstancesPerNode=self.min_leaf,
             seed=self.seed,
-        ).fit(ready.select(label, _VECTOR, _WEIGHT))
+        ).fit(_compact(ready.select(label, _VECTOR, _WEIGHT), counts.rows))
         return FittedClassifier(block, lambda df: _positive(model, df), model)
 
 
@@ -224,31 +232,49 @@ DEFAULT_MODELS: Mapping[str, Any] = {
 }
 
 
-def quality(scored: DataFrame, label: str = "toxic") -> dict[str, float]:
+def quality(rated: DataFrame, label: str = "toxic") -> dict[str, float]:
     """F1 and ROC-AUC of rows with ``score`` and ``prediction``."""
-    kept = scored.select(F.col(label).cast("double").alias("label"), "score", "prediction")
-    kept = kept.persist(StorageLevel.MEMORY_AND_DISK)
+    kept = rated.select(F.col(label).cast("double").alias("label"), "score", "prediction")
+    auc = BinaryClassificationEvaluator(
+        rawPredictionCol="score", labelCol="label", numBins=0
+    ).evaluate(kept)
+    return {"f1": float(binary_metrics(kept).first()["f1"]), "roc_auc": float(auc)}
+
+
+def _rate(fitted: FittedClassifier, df: DataFrame, label: str, *parts: Column) -> list[dict]:
+    """Quality on each part of ``df``; every row is scored once."""
+    flags = {f"_part{i}": part for i, part in enumerate(parts)}
+    rated = fitted.predict(df).select(label, "score", "prediction", *[c.alias(n) for n, c in flags.items()])
+    rated = rated.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        f1 = binary_metrics(kept).first()["f1"]
-        auc = BinaryClassificationEvaluator(
-            rawPredictionCol="score", labelCol="label", numBins=0
-        ).evaluate(kept)
+        return [quality(rated.where(name), label) for name in flags]
     finally:
-        kept.unpersist()
-    return {"f1": float(f1), "roc_auc": float(auc)}
+        rated.unpersist()
+
+
+def _submit(work: Callable, items: Sequence, parallelism: int) -> list:
+    """Run ``work`` for each item, ``parallelism`` at a time, from driver threads."""
+    with ThreadPoolExecutor(parallelism) as pool:
+        return list(pool.map(work, items))
 
 
 def fit_all(
-    train: DataFrame, test: DataFrame, models: Mapping[str, Any] = DEFAULT_MODELS, label: str = "toxic"
+    train: DataFrame,
+    test: DataFrame,
+    models: Mapping[str, Any] = DEFAULT_MODELS,
+    label: str = "toxic",
+    parallelism: int = 3,
 ) -> tuple[dict[str, FittedClassifier], DataFrame]:
     """Fit every model and rate it on the test rows: the models and their leaderboard."""
-    fitted = {name: spec.fit(train, label) for name, spec in models.items()}
-    rows = [
-        (name, *quality(model.predict(test), label).values()) for name, model in fitted.items()
-    ]
-    return fitted, leaderboard(
-        train.sparkSession.createDataFrame(rows, "model string, f1 double, roc_auc double")
-    )
+
+    def fit(spec) -> tuple[FittedClassifier, dict]:
+        model = spec.fit(train, label)
+        return model, _rate(model, test, label, F.lit(True))[0]
+
+    done = dict(zip(models, _submit(fit, list(models.values()), parallelism)))
+    rows = [(name, rating["f1"], rating["roc_auc"]) for name, (_, rating) in done.items()]
+    board = train.sparkSession.createDataFrame(rows, "model string, f1 double, roc_auc double")
+    return {name: model for name, (model, _) in done.items()}, leaderboard(board)
 
 
 def leaderboard(metrics: DataFrame) -> DataFrame:
@@ -269,24 +295,29 @@ def score_messages(
 
 
 def cross_validate(
-    df: DataFrame, spec, folds: int, label: str = "toxic", prefix: Column | None = None
+    df: DataFrame,
+    spec,
+    folds: int,
+    label: str = "toxic",
+    prefix: Column | None = None,
+    parallelism: int = 2,
 ) -> list[dict[str, float]]:
     """Fit on all folds but one and rate both sides, for each fold; ``df`` has ``fold``.
 
     ``prefix`` narrows the training side further.
     """
-    results = []
-    for fold in range(folds):
-        inside = df.where(F.col("fold") != fold)
-        inside = inside if prefix is None else inside.where(prefix)
-        fitted = spec.fit(inside, label)
-        train = quality(fitted.predict(inside), label)
-        valid = quality(fitted.predict(df.where(F.col("fold") == fold)), label)
-        results.append(
-            {"train_f1": train["f1"], "train_roc_auc": train["roc_auc"],
-             "cv_f1": valid["f1"], "cv_roc_auc": valid["roc_auc"]}
-        )
-    return results
+
+    def rate(fold: int) -> dict[str, float]:
+        inside = F.col("fold") != fold
+        inside = inside if prefix is None else inside & prefix
+        fitted = spec.fit(df.where(inside), label)
+        train, valid = _rate(fitted, df, label, inside, F.col("fold") == fold)
+        return {
+            "train_f1": train["f1"], "train_roc_auc": train["roc_auc"],
+            "cv_f1": valid["f1"], "cv_roc_auc": valid["roc_auc"],
+        }
+
+    return _submit(rate, range(folds), parallelism)
 
 
 def _mean_std(results: Sequence[Mapping[str, float]], name: str) -> tuple[float, float]:
@@ -388,13 +419,10 @@ def random_search(
     folded = assign_folds(train, label, id_columns, folds, seed)
     folded = folded.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        with ThreadPoolExecutor(parallelism) as pool:
-            rated = list(
-                pool.map(
-                    lambda s: cross_validate(folded, with_settings(spec, s), folds, label),
-                    settings,
-                )
-            )
+        rated = _submit(
+            lambda s: cross_validate(folded, with_settings(spec, s), folds, label),
+            settings, parallelism,
+        )
     finally:
         folded.unpersist()
     rows = []

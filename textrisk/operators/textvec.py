@@ -65,7 +65,7 @@ def term_counts(df: DataFrame, keys: Sequence[str], terms: str = "terms") -> Dat
 
 def vocabulary(
     counts: DataFrame,
-    documents: int | Column,
+    documents: int,
     min_df: int = 2,
     max_df: float = 1.0,
     max_features: int | None = None,
@@ -75,16 +75,13 @@ def vocabulary(
     ``documents`` is the number of texts. Keeps the ``max_features`` terms with the highest
     total count, equal counts in the order of the terms.
     """
-    total = documents if isinstance(documents, Column) else F.lit(documents)
     terms = counts.groupBy("term").agg(
         F.count(F.lit(1)).alias("df"), F.sum("tf").cast("bigint").alias("cf")
     )
-    kept = terms.withColumn("_documents", total).where(
-        (F.col("df") >= min_df) & (F.col("df") <= F.col("_documents") * F.lit(float(max_df)))
-    )
+    kept = terms.where((F.col("df") >= min_df) & (F.col("df") <= float(max_df) * documents))
     if max_features is not None:
         kept = _most_frequent(kept, max_features)
-    idf = F.log((1.0 + F.col("_documents")) / (1.0 + F.col("df"))) + 1.0
+    idf = F.log((1.0 + documents) / (F.col("df") + 1.0)) + 1.0
     return kept.select("term", "df", "cf", idf.alias("idf"))
 
 
@@ -152,8 +149,7 @@ class FeatureSpec:
             ),
             ["_row"],
         )
-        documents = train.agg(F.count(F.lit(1)).alias("n")).scalar()
-        terms = vocabulary(counts, documents, self.min_df, self.max_df, self.max_features)
+        terms = vocabulary(counts, train.count(), self.min_df, self.max_df, self.max_features)
         found = terms.orderBy("term").collect()  # at most max_features rows
         return FeatureModel(
             self,
@@ -177,6 +173,8 @@ class NumericFit:
 def numeric_fit(train: DataFrame, columns: Sequence[str], scale: bool = True) -> dict[str, NumericFit]:
     """Median of each column; with ``scale`` also mean and population deviation after filling."""
     columns = list(columns)
+    if not columns:
+        return {}
     tall = train.select([F.col(c).cast("double").alias(c) for c in columns]).unpivot(
         [], columns, "feature", "value"
     )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +15,7 @@ from textrisk.operators import (
     labels,
     lookups,
     messages as message_ops,
+    models,
     sampling,
     summary,
     textvec,
@@ -49,13 +51,13 @@ def anonymize_text(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def anonymize_pages(spark: SparkSession, folder: str) -> DataFrame:
-    pages = inputs.table(spark, folder, "pages")
+    pages = inputs.texts(spark, folder, "pages")
     return pages.select("page_id", text.anonymize("html").alias("text"))
 
 
 @query
 def anonymize_conversations(spark: SparkSession, folder: str) -> DataFrame:
-    turns = inputs.table(spark, folder, "conversations")
+    turns = inputs.texts(spark, folder, "conversations")
     return turns.select("conv_id", "turn", text.anonymize("text").alias("text"))
 
 
@@ -66,7 +68,7 @@ def mask_steps(spark: SparkSession, folder: str) -> DataFrame:
         "url": text.mask_urls, "email": text.mask_emails, "phone": text.mask_phones,
         "mention": text.mask_mentions, "space": text.collapse_space,
     }
-    pages = inputs.table(spark, folder, "pages")
+    pages = inputs.texts(spark, folder, "pages")
     return pages.select(
         "page_id", *[F.length(mask("html")).alias(f"{name}_len") for name, mask in steps.items()]
     )
@@ -103,7 +105,7 @@ def pseudonymized_messages(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def conversation_counters(spark: SparkSession, folder: str) -> DataFrame:
     """Second text source: roles as files, system turns as service entries."""
-    turns = inputs.table(spark, folder, "conversations").select(
+    turns = inputs.texts(spark, folder, "conversations").select(
         F.col("role").alias("file"),
         F.when(F.col("role") == "system", "service").otherwise("message").alias("type"),
         "text",
@@ -114,10 +116,10 @@ def conversation_counters(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def all_texts(spark: SparkSession, folder: str) -> DataFrame:
     """Documents and conversation turns as one set of clean texts, counted by source."""
-    documents = inputs.table(spark, folder, "documents").select(
+    documents = inputs.texts(spark, folder, "documents").select(
         F.lit("documents").alias("source"), "text"
     )
-    turns = inputs.table(spark, folder, "conversations").select(
+    turns = inputs.texts(spark, folder, "conversations").select(
         F.lit("conversations").alias("source"), "text"
     )
     both = message_ops.drop_blank(documents.unionByName(turns))
@@ -156,7 +158,7 @@ def message_features(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def conversation_features(spark: SparkSession, folder: str) -> DataFrame:
-    turns = inputs.table(spark, folder, "conversations").select("conv_id", "turn", "text")
+    turns = inputs.texts(spark, folder, "conversations").select("conv_id", "turn", "text")
     featured = risk.add_features(turns, "text", inputs.TABLE_LEXICON)
     return rounded(
         featured.select("conv_id", "turn", *fixed.FEATURES, "risk_score"),
@@ -189,8 +191,8 @@ def sink_rounding(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def risk_candidates(spark: SparkSession, folder: str) -> DataFrame:
-    featured = inputs.featured_documents(spark, folder).where(F.col("risk_score") > 0)
-    return rounded(featured.select("doc_id", "risk_score"), ["risk_score"])
+    numbers = inputs.document_numbers(spark, folder).where(F.col("risk_score") > 0)
+    return rounded(numbers.select("doc_id", "risk_score"), ["risk_score"])
 
 
 @query
@@ -382,8 +384,7 @@ def _term_counts(spark: SparkSession, folder: str, ngram_range: tuple[int, int])
 
 def _vocabulary(counts: DataFrame, spark: SparkSession, folder: str, **limits) -> DataFrame:
     documents = message_ops.drop_blank(inputs.table(spark, folder, "documents"))
-    total = documents.agg(F.count(F.lit(1)).alias("documents")).scalar()
-    return textvec.vocabulary(counts, total, **limits)
+    return textvec.vocabulary(counts, documents.count(), **limits)
 
 
 @query
@@ -410,7 +411,7 @@ def vocabulary_max_df(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _weights(spark: SparkSession, folder: str, sublinear: bool, **limits) -> DataFrame:
-    counts = _term_counts(spark, folder, (1, 2))
+    counts = staged(_term_counts(spark, folder, (1, 2)))
     terms = _vocabulary(counts, spark, folder, **limits)
     return rounded(textvec.term_weights(counts, terms, ["doc_id"], sublinear), ["weight"])
 
@@ -572,3 +573,98 @@ def label_checks(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def class_guard(spark: SparkSession, folder: str) -> DataFrame:
     return checks.class_guard(inputs.table(spark, folder, "labels"))
+
+
+# --- models -------------------------------------------------------------------------------------------------
+# Small settings, so that a run over the tables takes seconds; the defaults are in ``models``.
+
+SMALL_TEXT = textvec.FeatureSpec(max_features=500)
+SMALL_MODELS = {
+    "Logistic Regression": models.LogisticSpec(SMALL_TEXT, max_iter=50),
+    "Linear SVM": models.CalibratedSvmSpec(SMALL_TEXT, max_iter=30, id_columns=("doc_id",)),
+    "RandomForest": models.ForestSpec(SMALL_TEXT, trees=20, depth=8),
+}
+SMALL_BOOSTED = models.BoostedSpec(
+    replace(models.BoostedSpec().features, max_features=200), rounds=5
+)
+
+
+def _training_set(spark: SparkSession, folder: str) -> DataFrame:
+    labelled = inputs.labelled_documents(spark, folder, with_text=True)
+    split = sampling.holdout_split(
+        staged(labelled.select("doc_id", "text", "toxic", *fixed.BOOSTED_FEATURES)),
+        "toxic", ["doc_id"], 0.2, SEED,
+    )
+    return split
+
+
+def _train_test(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    split = _training_set(spark, folder)
+    return split.where(~F.col("is_test")), split.where("is_test")
+
+
+@query
+def model_leaderboard(spark: SparkSession, folder: str) -> DataFrame:
+    _, board = models.fit_all(*_train_test(spark, folder), SMALL_MODELS)
+    return rounded(board, ["f1", "roc_auc"])
+
+
+@query
+def scored_messages(spark: SparkSession, folder: str) -> DataFrame:
+    """All messages scored by a model trained on the labelled documents."""
+    train, _ = _train_test(spark, folder)
+    fitted = SMALL_MODELS["Logistic Regression"].fit(train)
+    named = message_ops.pseudonymize(staged(inputs.messages(spark, folder)))
+    featured = risk.add_features(named, "text", inputs.TABLE_LEXICON)
+    return rounded(models.score_messages(fitted, featured), ["toxicity_score"])
+
+
+@query
+def boosted_metrics(spark: SparkSession, folder: str) -> DataFrame:
+    train, test = _train_test(spark, folder)
+    rated = staged(SMALL_BOOSTED.fit(train).predict(test).select("toxic", "score", "prediction"))
+    metrics = evaluation.binary_metrics(rated, "toxic")
+    area = evaluation.roc_auc(evaluation.score_points(rated, "toxic"))
+    return rounded(metrics.withColumn("roc_auc", area.scalar()), [*metrics.columns, "roc_auc"])
+
+
+def _sweep(spark: SparkSession, folder: str) -> DataFrame:
+    train, _ = _train_test(spark, folder)
+    return models.size_sweep(staged(train), SMALL_BOOSTED, [200], ["doc_id"], max_folds=2)
+
+
+@query
+def size_sweep(spark: SparkSession, folder: str) -> DataFrame:
+    return _sweep(spark, folder)
+
+
+@query
+def near_best_size(spark: SparkSession, folder: str) -> DataFrame:
+    return models.near_best_size(_sweep(spark, folder))
+
+
+@query
+def random_search(spark: SparkSession, folder: str) -> DataFrame:
+    train, _ = _train_test(spark, folder)
+    settings = [
+        {**drawn, "max_features": drawn["max_features"] // 100, "rounds": drawn["rounds"] // 100}
+        for drawn in models.draw_settings(3, SEED)
+    ]
+    table, _ = models.random_search(staged(train), SMALL_BOOSTED, settings, ["doc_id"], max_folds=2)
+    return table
+
+
+@query
+def learning_curve(spark: SparkSession, folder: str) -> DataFrame:
+    train, _ = _train_test(spark, folder)
+    return models.learning_curve(
+        staged(train), SMALL_BOOSTED, (0.5, 1.0), ["doc_id"], max_folds=2
+    )
+
+
+@query
+def feature_importance(spark: SparkSession, folder: str) -> DataFrame:
+    train, _ = _train_test(spark, folder)
+    return rounded(
+        models.feature_importance(SMALL_BOOSTED.fit(train), spark), ["importance"]
+    )

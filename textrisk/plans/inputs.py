@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from textrisk.functions import text
 from textrisk.functions.risk import Lexicon, add_features
 from textrisk.operators.messages import clean_messages, drop_blank, raw_user
-from textrisk.session import staged
+from textrisk.session import spread_small, staged
 from textrisk.sources.tables import from_table
 
 # The texts of the tables are not Russian: these words stand in for the default lists.
@@ -23,10 +23,18 @@ TABLE_LEXICON = Lexicon(
 )
 
 
+# Tables with texts, and the key that spreads them.
+TEXT_KEYS = {"documents": "doc_id", "pages": "page_id", "conversations": "conv_id"}
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def texts(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    return spread_small(table(spark, folder, name), TEXT_KEYS[name])
+
+
 def message_events(spark: SparkSession, folder: str) -> DataFrame:
     """Per message id: type, user and date. The dates of the table span a few days, so they
     are spread over two years with a gap of some months; some are left out."""
@@ -46,7 +54,7 @@ def message_events(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def raw_messages(spark: SparkSession, folder: str) -> DataFrame:
-    joined = table(spark, folder, "documents").join(message_events(spark, folder), "doc_id")
+    joined = texts(spark, folder, "documents").join(message_events(spark, folder), "doc_id")
     return from_table(
         joined,
         {
@@ -65,7 +73,7 @@ def messages(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def clean_documents(spark: SparkSession, folder: str) -> DataFrame:
-    documents = drop_blank(table(spark, folder, "documents"))
+    documents = drop_blank(texts(spark, folder, "documents"))
     return documents.select("doc_id", "source", text.anonymize("text").alias("text"))
 
 

@@ -50,3 +50,13 @@ def staged(df: DataFrame) -> DataFrame:
     path = f"{shared_folder(spark)}/staged-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread_small(df: DataFrame, *keys: str) -> DataFrame:
+    """Give a small input at least as many partitions as there are cores.
+
+    A file of few row groups is read by few tasks, which leaves costly text work on a few
+    cores. An input with enough partitions is returned as it is: no shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *keys)

@@ -21,7 +21,7 @@ _TYPES = {
 SAMPLE_SCHEMA = ", ".join(f"{c} {_TYPES.get(c, 'string')}" for c in fixed.SAMPLE_COLUMNS)
 LABELLED_SCHEMA = f"{SAMPLE_SCHEMA}, label_source string"
 _CSV = {
-    "header": True, "multiLine": True, "escape": '"', "encoding": "UTF-8",
+    "header": True, "escape": '"', "encoding": "UTF-8",
     "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss[.SSSSSS]",
 }
 NAMED_FILES = 10_000
@@ -40,14 +40,13 @@ def write_sample(sample: DataFrame, path: str, rounded: bool = False) -> None:
             for c in fixed.SAMPLE_COLUMNS
         ]
     extra = [c for c in ("label_source",) if c in sample.columns]
-    sample.orderBy("label_id").select(*columns, *extra).write.mode("overwrite").options(
-        **{**_CSV, "multiLine": None, "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS"}
-    ).csv(path)
+    ordered = sample.orderBy("label_id").select(*columns, *extra)
+    ordered.write.mode("overwrite").options(**_CSV).csv(path)
 
 
 def read_sample(spark: SparkSession, path: str, schema: str = SAMPLE_SCHEMA) -> DataFrame:
     """Read a sample or labelled file with its known types; labels stay text."""
-    return spark.read.schema(schema).options(**_CSV).csv(path)
+    return spark.read.schema(schema).options(**_CSV, multiLine=True).csv(path)
 
 
 def ensure_sample(
