@@ -10,11 +10,12 @@ from pyspark.sql import functions as F
 
 from textrisk.functions import fixed
 from textrisk.operators import models
+from textrisk.operators.labels import resolve_labels
 from textrisk.operators.messages import clean_messages, file_counters, pseudonymize
 from textrisk.operators.textvec import FeatureSpec
 from textrisk.plans import labeling, training
 from textrisk.sources.exports import read_chat_exports, read_message_lines, stream_message_lines
-from textrisk.sources.samples import LABELLED_SCHEMA, ensure_sample, read_sample, write_sample
+from textrisk.sources.samples import ensure_sample, read_first_sample, read_sample, write_sample
 from textrisk.sources.tables import from_table
 from textrisk.streaming.scoring import featured_stream, hourly_stream
 
@@ -87,7 +88,7 @@ def test_prepare_and_label_sample(spark, exports, tmp_path):
     assert (summary["total_raw_messages"], summary["total_kept_messages"]) == (10, 6)
     assert summary["anonymous_users"] == 3 and summary["labeling_sample_size"] == 4
     labelled = labeling.label_sample(spark, sample_path, str(tmp_path / "labelled"))
-    back = read_sample(spark, str(tmp_path / "labelled"), LABELLED_SCHEMA)
+    back = read_first_sample(spark, str(tmp_path / "labelled"), sample_path)
     assert back.count() == labelled.count() == 4
     assert {r.toxic for r in back.collect()} == {"0", "1"}
     assert back.first().label_source.startswith("auto_rules")
@@ -124,6 +125,18 @@ def test_read_sample_with_byte_order_mark(spark, tmp_path):
     assert row.date == datetime(2024, 1, 2, 3, 4, 5)
 
 
+def test_columns_added_by_hand(spark, tmp_path):
+    path = tmp_path / "scored.csv"
+    path.write_text("toxic,Toxic-Score,text,risk_score\n,7,a,0.5\n,2,b,x\n,,c,1\n", encoding="utf-8-sig")
+    frame = read_first_sample(spark, str(tmp_path / "missing"), str(path))
+    assert frame.columns == ["toxic", "Toxic-Score", "text", "risk_score"]
+    assert [r.risk_score for r in frame.collect()] == [0.5, None, 1.0]
+    got = {r.text: (r.toxic, r.label_source) for r in resolve_labels(frame).collect()}
+    assert got == {"a": (1, "Toxic-Score >= 5"), "b": (0, "Toxic-Score >= 5")}
+    with pytest.raises(FileNotFoundError):
+        read_first_sample(spark, str(tmp_path / "missing"))
+
+
 def test_ensure_sample(spark, tmp_path):
     path, built = str(tmp_path / "s"), []
 

@@ -51,7 +51,7 @@ def caps_ratio(text: Column | str) -> Column:
     """Upper-case letters as a share of all letters; 0.0 for a text without letters."""
     letters = F.regexp_replace(as_column(text), r"\P{L}+", "")
     upper = F.regexp_replace(letters, r"\P{Lu}+", "")
-    return F.when(F.length(letters) > 0, F.length(upper) / F.length(letters)).otherwise(F.lit(0.0))
+    return F.coalesce(F.try_divide(F.length(upper), F.length(letters)), F.lit(0.0))
 
 
 def shouted_words(text: Column | str) -> Column:

@@ -19,13 +19,18 @@ def value_cell(value: Column) -> Column:
 
 
 def exact_quantiles(
-    df: DataFrame, value: str, probabilities: Sequence[float], by: Sequence[str] = ()
+    df: DataFrame,
+    value: str,
+    probabilities: Sequence[float],
+    by: Sequence[str] = (),
+    few_groups: bool = False,
 ) -> DataFrame:
     """One row per group and probability: ``quantile`` and the group's row count ``rows``.
 
     Values are counted first (equal values collapse before the shuffle, so hot values are
     harmless). Counts per cell then tell which cells hold the wanted ranks, and only the
-    values of those cells are sorted.
+    values of those cells are sorted. ``few_groups`` promises a small number of groups, so
+    that the list of wanted cells (two per group and probability) may be broadcast.
     """
     by = list(by)
     number = F.col(value).cast("double")
@@ -64,11 +69,12 @@ def exact_quantiles(
             "probability", "_before", "_low", "_high", "_spot", "_rows",
         )
     )
-    # counted holds each value once, and targets at most two cells per probability
+    if few_groups or not by:
+        targets = F.broadcast(targets)
     same = F.lit(True)
     for name in [*by, "_cell"]:
         same = same & F.col(name).eqNullSafe(F.col(f"_at_{name}"))
-    inside = counted.join(F.broadcast(targets), same)
+    inside = counted.join(targets, same)
     in_cell = Window.partitionBy(*by, "probability", "_cell").orderBy("_value")
     last = F.sum("_n").over(in_cell) + F.col("_before") - 1
     picked = inside.withColumn("_last", last).withColumn("_first", F.col("_last") - F.col("_n") + 1)

@@ -104,11 +104,11 @@ def term_weights(
 ) -> DataFrame:
     """TF-IDF as rows ``keys, term, weight``, each text scaled to length 1.
 
-    ``terms`` must be bounded by ``max_features``: it is broadcast. The length of a text is
-    a sum over its own terms only.
+    A vocabulary limited by ``max_features`` has a known size and Spark broadcasts it when
+    small; a larger one is shuffled. The length of a text is a sum over its own terms only.
     """
     tf = F.log(F.col("tf").cast("double")) + 1.0 if sublinear else F.col("tf").cast("double")
-    raw = counts.join(F.broadcast(terms.select("term", "idf")), "term").select(
+    raw = counts.join(terms.select("term", "idf"), "term").select(
         *keys, F.struct("term", (tf * F.col("idf")).alias("raw")).alias("entry")
     )
     grouped = raw.groupBy(*keys).agg(F.collect_list("entry").alias("entries"))
@@ -180,7 +180,7 @@ def numeric_fit(train: DataFrame, columns: Sequence[str], scale: bool = True) ->
     )
     medians = {
         row["feature"]: row["quantile"]
-        for row in exact_quantiles(tall, "value", [0.5], ["feature"]).collect()
+        for row in exact_quantiles(tall, "value", [0.5], ["feature"], True).collect()
     }
     fits = {c: NumericFit(medians.get(c) or 0.0) for c in columns}
     if not scale:

@@ -18,8 +18,6 @@ _TYPES = {
     "char_len": "int", "word_count": "int", "profanity_count": "int", "hostile_count": "int",
     "exclamation_count": "int", "question_count": "int", "caps_ratio": "double",
 }
-SAMPLE_SCHEMA = ", ".join(f"{c} {_TYPES.get(c, 'string')}" for c in fixed.SAMPLE_COLUMNS)
-LABELLED_SCHEMA = f"{SAMPLE_SCHEMA}, label_source string"
 _CSV = {
     "header": True, "escape": '"', "encoding": "UTF-8",
     "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss[.SSSSSS]",
@@ -44,22 +42,42 @@ def write_sample(sample: DataFrame, path: str, rounded: bool = False) -> None:
     ordered.write.mode("overwrite").options(**_CSV).csv(path)
 
 
-def read_sample(spark: SparkSession, path: str, schema: str = SAMPLE_SCHEMA) -> DataFrame:
-    """Read a sample or labelled file with its known types; labels stay text."""
-    return spark.read.schema(schema).options(**_CSV, multiLine=True).csv(path)
+def read_sample(spark: SparkSession, path: str) -> DataFrame:
+    """Read a sample or labelled file by its header, in whatever order the columns are.
+
+    Known columns get their types; ``toxic`` and columns added by hand (scores) stay text.
+    """
+    text = spark.read.options(**_CSV, multiLine=True).csv(path)
+    names = [name.lstrip("\ufeff") for name in text.columns]
+    return text.toDF(*names).select(
+        *[F.col(f"`{name}`").try_cast(_TYPES.get(name, "string")).alias(name) for name in names]
+    )
+
+
+def read_first_sample(spark: SparkSession, *paths: str) -> DataFrame:
+    """The first of the files that exists (the labelled one before the blank sample)."""
+    for path in paths:
+        found = _read_if_there(spark, path)
+        if found is not None:
+            return found
+    raise FileNotFoundError(f"none of these exists: {', '.join(paths)}")
+
+
+def _read_if_there(spark: SparkSession, path: str) -> DataFrame | None:
+    try:
+        return read_sample(spark, path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
 
 
 def ensure_sample(
     spark: SparkSession, path: str, rows: int, build: Callable[[], DataFrame]
 ) -> DataFrame:
     """The sample at ``path`` if it has at least ``rows`` rows, else a new one written there."""
-    try:
-        existing = read_sample(spark, path)
-        enough = existing.limit(rows).count() >= rows
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
-        enough = False
+    existing = _read_if_there(spark, path)
+    enough = existing is not None and existing.limit(rows).count() >= rows
     if not enough:
         write_sample(build(), path)
     return read_sample(spark, path)
