@@ -209,8 +209,8 @@ def numeric_coercion(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def dataset_summary(spark: SparkSession, folder: str) -> DataFrame:
-    used = inputs.messages(spark, folder).select(
-        "chat", "date", F.col("raw_user_id").alias("user")
+    used = staged(
+        inputs.messages(spark, folder).select("chat", "date", F.col("raw_user_id").alias("user"))
     )
     return summary.dataset_summary(used)
 
