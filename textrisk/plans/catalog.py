@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import replace
 
@@ -23,7 +24,8 @@ from textrisk.operators import (
 )
 from textrisk.operators.quantiles import exact_quantiles
 from textrisk.plans import inputs
-from textrisk.session import staged
+from textrisk.session import shared_folder, staged
+from textrisk.sources import exports, samples
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -129,6 +131,35 @@ def all_texts(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def rich_text(spark: SparkSession, folder: str) -> DataFrame:
+    """Conversation turns written as rich text (a string, an object, other items) and flattened."""
+    turns = inputs.texts(spark, folder, "conversations")
+    piece = F.to_json(F.struct("text"))
+    quoted = F.expr("substring(piece, length('{\"text\":') + 1, length(piece) - length('{\"text\":}'))")
+    rich = F.concat(F.lit("["), quoted, F.lit(","), F.col("piece"), F.lit(',5,{"type":"x"},["y"]]'))
+    document = F.when(F.col("role") == "system", quoted).otherwise(rich)
+    return turns.withColumn("piece", piece).select(
+        "conv_id", "turn", text.flatten_rich_text(F.parse_json(document)).alias("text")
+    )
+
+
+@query
+def message_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """The messages written as one JSON object per line, read back and cleaned."""
+    path = f"{shared_folder(spark)}/lines-{uuid.uuid4().hex}"
+    raw = inputs.raw_messages(spark, folder)
+    raw.select("id", "type", "date", "from_id", "text").write.json(path)
+    return message_ops.clean_messages(exports.read_message_lines(spark, path)).select(
+        "date", "hour", "month", "raw_user_id", "text"
+    )
+
+
+@query
+def chat_list(spark: SparkSession, folder: str) -> DataFrame:
+    return summary.chat_list(inputs.messages(spark, folder))
+
+
 # --- dates ----------------------------------------------------------------------------
 
 
@@ -342,6 +373,19 @@ def labeling_sample_default(spark: SparkSession, folder: str) -> DataFrame:
     return sample.select("label_id", "message_hash", "selection_reason")
 
 
+@query
+def sample_file(spark: SparkSession, folder: str) -> DataFrame:
+    """A labelling sample of named messages, written as CSV and read back with all columns."""
+    path = f"{shared_folder(spark)}/sample-{uuid.uuid4().hex}"
+    clean = inputs.messages(spark, folder)
+    featured = staged(risk.add_features(clean, "text", inputs.TABLE_LEXICON))
+    names = message_ops.pseudonyms(featured.select("raw_user_id"))
+    sample = sampling.labeling_sample(featured, 200, SEED, F.col("risk_score") > 1)
+    named = lookups.join_lookup(sample, names, "raw_user_id", "user_rows")
+    samples.write_sample(named, path)
+    return rounded(samples.read_sample(spark, path), ["risk_score", "caps_ratio"])
+
+
 @query
 def unlabelled_documents(spark: SparkSession, folder: str) -> DataFrame:
     """Documents outside the labelled set, counted by source."""

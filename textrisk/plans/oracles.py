@@ -149,11 +149,15 @@ def _weights(sublinear: bool, max_df: float = 1.0) -> str:
 
 
 def _sample(size: int, floor: float) -> str:
-    quota = size // 2
     return f"""{_FEATURED}, rows_ AS (
       SELECT substring(sha256(concat_ws('|', source, doc_id, text)), 1, 16) AS message_hash,
-        risk_score FROM featured),
-    risky AS (
+        risk_score FROM featured), {_draw(size, floor)}"""
+
+
+def _draw(size: int, floor: float) -> str:
+    """From ``rows_`` with ``message_hash`` and ``risk_score`` to ``sample``."""
+    quota = size // 2
+    return f"""risky AS (
       SELECT * FROM rows_ WHERE risk_score > {floor}
       ORDER BY {_key("'42:risky'", 'message_hash')} LIMIT {quota}),
     rest AS (
@@ -238,6 +242,15 @@ FROM (SELECT 'documents' AS source, text FROM documents
   UNION ALL SELECT 'conversations', text FROM conversations)
 WHERE regexp_matches(text, '[^{_S}]') GROUP BY source"""
 
+ORACLES["rich_text"] = """SELECT conv_id, turn,
+  CASE WHEN role = 'system' THEN text ELSE text || text END AS text FROM conversations"""
+ORACLES["message_lines"] = f"""WITH {_CLEAN}, {_EVENTS}
+SELECT date, hour(date)::INTEGER AS hour, strftime(date, '%Y-%m') AS month, raw_user_id, text
+FROM clean JOIN timed USING (doc_id) WHERE type = 'message'"""
+ORACLES["chat_list"] = f"""WITH {_CLEAN}, {_EVENTS}
+SELECT source AS chat, count(*) AS messages FROM clean JOIN timed USING (doc_id)
+WHERE type = 'message' GROUP BY source"""
+
 # --- dates ---------------------------------------------------------------------------------
 
 ORACLES["date_parts"] = """SELECT event_id, ts AS date, hour(ts)::INTEGER AS hour,
@@ -330,6 +343,19 @@ SELECT label_id, message_hash, selection_reason, round(risk_score, 6) AS risk_sc
   NULL::VARCHAR AS toxic, NULL::VARCHAR AS notes FROM sample"""
 ORACLES["labeling_sample_default"] = f"""WITH {_sample(250, 0.0)}
 SELECT label_id, message_hash, selection_reason FROM sample"""
+ORACLES["sample_file"] = f"""WITH {_CLEAN}, {_EVENTS},
+scored AS (
+  SELECT substring(sha256(concat_ws('|', source || '.json', doc_id, raw_user_id, text)), 1, 16)
+    AS message_hash, date, hour(date)::INTEGER AS hour, strftime(date, '%Y-%m') AS month,
+    source AS chat, raw_user_id, text
+  FROM clean JOIN timed USING (doc_id) WHERE type = 'message'),
+{_NAMES}, rows_ AS (
+  SELECT f.*, user FROM ({_features('scored', '*')}) f JOIN named USING (raw_user_id)),
+{_draw(200, 1.0)}
+SELECT label_id, message_hash, date, hour, month, chat, user, text, NULL::VARCHAR AS toxic,
+  NULL::VARCHAR AS notes, selection_reason, round(risk_score, 6) AS risk_score, char_len, word_count,
+  profanity_count, hostile_count, exclamation_count, question_count, round(caps_ratio, 6) AS caps_ratio
+FROM sample"""
 ORACLES["unlabelled_documents"] = """SELECT source, count(*) AS documents FROM documents
 WHERE doc_id NOT IN (SELECT doc_id FROM labels) GROUP BY source"""
 ORACLES["holdout_split"] = f"""WITH {_class_rank('holdout')}
