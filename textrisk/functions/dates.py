@@ -31,7 +31,12 @@ def parse_iso(value: Column | str) -> Column:
 
 
 def month_of(date: Column | str) -> Column:
-    return F.date_format(as_column(date), "yyyy-MM")
+    """``yyyy-MM``, cut from the text form: formatting would pass through the session zone."""
+    return F.substring(as_column(date).cast("string"), 1, 7)
+
+
+def to_seconds_text(date: Column | str) -> Column:
+    return F.substring(as_column(date).cast("string"), 1, 19)
 
 
 def month_end(date: Column | str) -> Column:

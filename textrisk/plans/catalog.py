@@ -168,7 +168,7 @@ def date_parts(spark: SparkSession, folder: str) -> DataFrame:
     """Parse ISO texts of the event times and take them apart."""
     stamps = inputs.table(spark, folder, "events").select(
         "event_id",
-        dates.parse_iso(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")).alias("date"),
+        dates.parse_iso(F.replace(F.col("ts").cast("string"), F.lit(" "), F.lit("T"))).alias("date"),
     )
     return stamps.select(
         "event_id", "date", F.hour("date").alias("hour"), dates.month_of("date").alias("month"),

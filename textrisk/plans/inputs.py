@@ -61,7 +61,7 @@ def raw_messages(spark: SparkSession, folder: str) -> DataFrame:
             "file": F.concat("source", F.lit(".json")),
             "id": "doc_id",
             "type": "type",
-            "date": F.date_format("date", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"),
+            "date": "date",
             "from_id": "from_id",
             "text": "text",
         },

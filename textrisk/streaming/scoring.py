@@ -18,7 +18,10 @@ def featured_stream(raw: DataFrame, lexicon: Lexicon = Lexicon()) -> DataFrame:
 def hourly_stream(
     scored: DataFrame, score: str = "risk_score", lateness: str = "1 hour"
 ) -> DataFrame:
-    """Mean score and count per clock hour; an hour is final once the watermark passed it."""
+    """Mean score and count per clock hour; an hour is final once the watermark passed it.
+
+    A watermark needs a time with a zone, so the wall clock is read in the session's zone.
+    """
     timed = scored.where(F.col("date").isNotNull()).withColumn("at", F.col("date").cast("timestamp"))
     hours = timed.withWatermark("at", lateness).groupBy(F.window("at", "1 hour"))
     return hours.agg(
