@@ -35,6 +35,34 @@ def test_query_equals_sql(spark, db, name):
     assert normal([tuple(r) for r in frame.collect()], frame.columns) == normal(result.fetchall(), names)
 
 
+@pytest.fixture()
+def cluster_like(spark):
+    """No broadcast by size, many shuffle partitions, and tiny skew limits."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.shuffle.partitions": "40",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1KB",
+    }
+    before = {name: spark.conf.get(name, None) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    yield spark
+    for name, value in before.items():
+        spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+@pytest.mark.parametrize(
+    "name",
+    "message_view pseudonymized_messages labeling_sample tfidf roc_points monthly_trend top_users "
+    "value_quantiles unlabelled_documents".split(),
+)
+def test_query_with_shuffled_joins(cluster_like, db, name):
+    test_query_equals_sql(cluster_like, db, name)
+
+
 def test_entry(spark):
     frame = entry.entry(spark)
     assert frame.columns == ["hour", "mean_toxicity", "messages"] and frame.count() > 0

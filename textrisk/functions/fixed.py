@@ -71,5 +71,9 @@ HIGH_RISK_NOTE_FORMAT = "auto: risk_score >= %.3f"
 # Score scale (largest value it may hold) and the cut used for it; above all: the last cut.
 SCORE_CUTS = ((1.0, 0.5), (10.0, 5.0))
 SCORE_CUT_ABOVE = 50.0
+SUMMARY_METRICS = (
+    "messages_used_in_notebook", "messages_after_filtering_full", "anonymous_users",
+    "date_min", "date_max", "chats",
+)
 DEFAULT_SAMPLE_SIZE = 10_000
 DEFAULT_SEED = 42

@@ -47,7 +47,7 @@ def clean_messages(raw: DataFrame) -> DataFrame:
         dates.parse_iso("date").alias("date"),
     )
     return kept.select(
-        text.stable_hash("file", "id", "raw_user_id", "text").alias("message_hash"),
+        text.short_hash("file", "id", "raw_user_id", "text").alias("message_hash"),
         "date",
         "date_unixtime",
         F.hour("date").alias("hour"),

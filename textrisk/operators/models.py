@@ -204,6 +204,7 @@ class BoostedSpec:
         numeric=fixed.BOOSTED_FEATURES, max_df=0.95, max_features=20_000, sublinear=True,
         scale=False,
     )
+    # fixed values: default settings of the boosted trees
     rounds: int = 250
     depth: int = 3
     rate: float = 0.08

@@ -108,7 +108,7 @@ def document_numbers(spark: SparkSession, folder: str) -> DataFrame:
     """Features and hash of each document, staged for operators that pass over them again."""
     featured = featured_documents(spark, folder)
     return staged(
-        featured.withColumn("message_hash", text.stable_hash("source", "doc_id", "text")).drop("text")
+        featured.withColumn("message_hash", text.short_hash("source", "doc_id", "text")).drop("text")
     )
 
 

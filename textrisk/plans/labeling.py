@@ -12,7 +12,7 @@ from textrisk.operators.labels import weak_labels
 from textrisk.operators.lookups import join_lookup
 from textrisk.operators.messages import clean_messages, file_counters, pseudonyms
 from textrisk.operators.sampling import labeling_sample
-from textrisk.session import staged
+from textrisk.session import spread_small, staged
 from textrisk.sources.exports import read_chat_exports
 from textrisk.sources.samples import read_sample, write_sample, write_summary
 
@@ -39,6 +39,8 @@ def prepare_sample(
     pseudonyms.
     """
     raw = read_chat_exports(spark, paths, spread)
+    if spread is None:
+        raw = spread_small(raw, "file", "id", "date")
     messages = message_table(raw, lexicon, count_shouted=True)
     names = pseudonyms(messages.select("raw_user_id"))
     sample = labeling_sample(messages, size, seed, candidate)

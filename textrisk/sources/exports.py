@@ -37,7 +37,7 @@ def read_chat_exports(
         *[F.col(f"m.{name}").alias(name) for name in _FLAT],
         flatten_rich_text("m.text").alias("text"),
     )
-    return raw if spread is None else raw.repartition(spread, "file", "id")
+    return raw if spread is None else raw.repartition(spread, "file", "id", "date")
 
 
 def read_message_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
