@@ -12,6 +12,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer, VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import DenseVector, SparseVector, VectorUDT
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -232,3 +233,16 @@ class FeatureModel:
             inputs = ["_text_vector", *inputs]
         assembled = VectorAssembler(inputCols=inputs, outputCol=name).transform(numbered)
         return assembled.drop("_text_vector", *numbers)
+
+    def entries(self, df: DataFrame, keys: Sequence[str], vector: str = "features") -> DataFrame:
+        """The non-zero slots of a transformed frame by name: rows ``keys, name, value``."""
+        names = df.sparkSession.createDataFrame(
+            list(enumerate(self.names)), "slot int, name string"
+        )
+        slots = df.select(*keys, F.posexplode(vector_to_array(vector)).alias("slot", "value"))
+        # one name per slot of the vector
+        return (
+            slots.where(F.col("value") != 0)
+            .join(F.broadcast(names), "slot")
+            .select(*keys, "name", "value")
+        )

@@ -647,6 +647,14 @@ def _train_test(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]
     return split.where(~F.col("is_test")), split.where("is_test")
 
 
+@query
+def feature_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    """Slots of the assembled vectors of all labelled documents, fitted on the training part."""
+    split = _training_set(spark, folder)
+    block = SMALL_TEXT.fit(split.where(~F.col("is_test")))
+    return rounded(block.entries(block.transform(split), ["doc_id"]), ["value"])
+
+
 @query
 def model_leaderboard(spark: SparkSession, folder: str) -> DataFrame:
     _, board = models.fit_all(*_train_test(spark, folder), SMALL_MODELS)

@@ -392,6 +392,30 @@ moments AS (
 SELECT doc_id, round((a - aa) / sa, 6) AS char_len, round((b - ab) / sb, 6) AS caps_ratio
 FROM filled, moments"""
 
+ORACLES["feature_vectors"] = f"""WITH {_ngram_counts(2)},
+featured AS ({_features('clean', 'doc_id', 'text')}), {_class_rank('holdout')},
+split AS (SELECT doc_id, rank <= floor(0.2 * n + 0.5) AS is_test FROM ranked),
+train AS (SELECT count(*) AS n FROM split WHERE NOT is_test),
+terms AS (
+  SELECT term, ln((1.0::DOUBLE + any_value(n)) / (1.0::DOUBLE + count(*))) + 1.0::DOUBLE AS idf
+  FROM counts JOIN split USING (doc_id), train WHERE NOT is_test GROUP BY term
+  HAVING count(*) >= 2 ORDER BY sum(tf) DESC, term LIMIT 500),
+raw AS (
+  SELECT doc_id, term, tf * idf AS raw
+  FROM counts JOIN terms USING (term) JOIN split USING (doc_id)),
+tall AS (
+  UNPIVOT (SELECT doc_id, is_test, {', '.join(f'{f}::DOUBLE AS {f}' for f in fixed.FEATURES)}
+    FROM featured JOIN split USING (doc_id))
+  ON {', '.join(fixed.FEATURES)} INTO NAME name VALUE value),
+moments AS (
+  SELECT name, avg(value) AS mean, stddev_pop(value) AS dev FROM tall WHERE NOT is_test GROUP BY name),
+slots AS (
+  SELECT doc_id, term AS name, raw / sqrt(sum(raw * raw) OVER (PARTITION BY doc_id)) AS value FROM raw
+  UNION ALL
+  SELECT doc_id, name, (value - mean) / CASE WHEN dev = 0 THEN 1 ELSE dev END
+  FROM tall JOIN moments USING (name))
+SELECT doc_id, name, round(value, 6) AS value FROM slots WHERE value <> 0"""
+
 # --- evaluation --------------------------------------------------------------------------------------
 
 ORACLES["confusion_matrix"] = f"""WITH {_RATED}
