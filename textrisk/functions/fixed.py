@@ -13,11 +13,14 @@ WORD_EDGE = rf"(?:(?<![{WORD}])(?=[{WORD}])|(?<=[{WORD}])(?![{WORD}]))"
 
 # --- fixed values: personal data and what replaces it ---------------------------
 URL_PATTERN = rf"(?iu)https?://[^{SPACE}]+|www\.[^{SPACE}]+"
-EMAIL_PATTERN = rf"{WORD_EDGE}[{WORD}.+-]++@[{WORD}-]++\.[{WORD}.-]+{WORD_EDGE}"
+# An address starts at the first word character of a run of name characters, or right after
+# the previous address. Starting nowhere else keeps long runs without an @ linear.
+EMAIL_START = rf"(?:(?<![{WORD}.+-])([.+-]*+)(?=[{WORD}])|\G(?<=[{WORD}])(?=[.+-]))"
+EMAIL_PATTERN = rf"{EMAIL_START}[{WORD}.+-]++@[{WORD}-]++\.[{WORD}.-]+{WORD_EDGE}"
 PHONE_PATTERN = rf"(?<!{DIGIT})\+?{DIGIT}[{DIGIT}{SPACE}().-]{{7,}}{DIGIT}(?!{DIGIT})"
 MENTION_PATTERN = rf"(?<![{WORD}])@[{WORD}]{{3,}}"
 URL_MASK = "<URL>"
-EMAIL_MASK = "<EMAIL>"
+EMAIL_MASK = "$1<EMAIL>"  # $1: signs before the address
 PHONE_MASK = "<PHONE>"
 MENTION_MASK = "<MENTION>"
 
