@@ -9,10 +9,13 @@ from textrisk.session import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
+    folder = tmp_path_factory.mktemp("spark")
     session = build_session(
         "tests", "local[8]", spark__sql__shuffle__partitions="8", spark__ui__enabled="false",
         spark__driver__memory="6g",
+        spark__sql__warehouse__dir=str(folder / "warehouse"),
+        spark__checkpoint__dir=f"file://{folder}/checkpoint",
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Folders staged by this driver, oldest first.
+_made: list[str] = []
+
 
 def build_session(app: str = "textrisk", master: str | None = None, **settings: str) -> SparkSession:
     """Session with the settings the library counts on; ``settings`` use ``__`` for dots."""
@@ -26,17 +30,19 @@ def build_session(app: str = "textrisk", master: str | None = None, **settings:
 def shared_folder(spark: SparkSession) -> str:
     """This application's folder below ``spark.checkpoint.dir``, which all executors share.
 
-    Only a local session without that setting gets a folder of its own.
+    A session without that setting uses a folder below its warehouse.
     """
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        shared = spark.conf.get("spark.checkpoint.dir", None)
-        if shared is None:
-            if not context.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-            shared = tempfile.mkdtemp(prefix="textrisk-checkpoint-")
-        context.setCheckpointDir(shared)
-    return context.getCheckpointDir()
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if root is None:
+        root = f"{spark.conf.get('spark.sql.warehouse.dir')}/_staged"
+    return f"{root}/{spark.sparkContext.applicationId}"
+
+
+def staged_folder(spark: SparkSession, kind: str = "staged") -> str:
+    """A new, not yet made folder for one staged table; ``staging`` removes it."""
+    path = f"{shared_folder(spark)}/{kind}-{uuid.uuid4().hex}"
+    _made.append(path)
+    return path
 
 
 def staged(df: DataFrame) -> DataFrame:
@@ -47,16 +53,33 @@ def staged(df: DataFrame) -> DataFrame:
     back into the computation, and the rows survive the loss of any executor.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/staged-{uuid.uuid4().hex}"
+    path = staged_folder(spark)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[None]:
+    """Remove, at the end of the block, every table staged inside it.
+
+    Frames that read such a table must be written or collected before the block ends.
+    """
+    before = len(_made)
+    try:
+        yield
+    finally:
+        jvm = spark.sparkContext._jvm
+        for name in _made[before:]:
+            path = jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        del _made[before:]
+
+
 def spread_small(df: DataFrame, *keys: str) -> DataFrame:
     """Give a small input at least as many partitions as there are cores.
 
     A file of few row groups is read by few tasks, which leaves costly text work on a few
-    cores. An input with enough partitions is returned as it is: no shuffle.
+    cores. An input of enough files is returned as it is: no shuffle.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *keys)
+    return df if len(df.inputFiles()) >= cores else df.repartition(cores, *keys)
