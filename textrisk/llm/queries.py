@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textrisk.llm import language, ngram_join, quality
+from textrisk.llm import language, ngram_join, quality, suffix_match
 from textrisk.session import staged
 
 
@@ -43,10 +43,61 @@ def op6_language(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op7_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    found = suffix_match.find_overlaps(
+        _table(spark, folder, "documents"), _table(spark, folder, "benchmark")
+    )
+    length = F.aggregate("spans", F.lit(0).cast("bigint"), lambda n, s: n + s["end"] - s["start"])
+    names = F.array_sort(F.transform("items", lambda item: item.cast("string")))
+    return found.select(
+        "doc_id",
+        "n_words",
+        length.alias("n_hit"),
+        F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join(names, ","), 256).alias("items_sha256"),
+        (F.size("spans") > 0).alias("contaminated"),
+    )
+
+
 QUERIES = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
     "op2_quality": op2_quality,
     "op6_language": op6_language,
+    "op7_decontamination": op7_decontamination,
 }
 
-ORACLES: dict[str, str] = {}
+_LOWERED = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_PLAIN_WORDS = r"regexp_extract_all({0}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')".format(_LOWERED)
+
+ORACLES: dict[str, str] = {
+    "op7_decontamination": f"""
+        WITH item AS (
+            SELECT DISTINCT item_id, {_PLAIN_WORDS.format('text')} AS w FROM benchmark
+            WHERE item_id IS NOT NULL AND text IS NOT NULL
+        ), win AS (
+            SELECT DISTINCT item_id, least(len(w), 10) AS size,
+                array_to_string(list_slice(w, pos, pos + least(len(w), 10) - 1), ' ') AS key
+            FROM item, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS t(pos)
+            WHERE len(w) > 0
+        ), doc AS (
+            SELECT doc_id, {_PLAIN_WORDS.format("coalesce(text, '')")} AS w FROM documents
+        ), place AS (
+            SELECT doc_id, pos, size, array_to_string(list_slice(w, pos, pos + size - 1), ' ') AS key
+            FROM doc, (SELECT DISTINCT size FROM win), unnest(range(1, len(w) - size + 2)) AS t(pos)
+        ), hit AS (
+            SELECT doc_id, pos, win.size, item_id FROM place JOIN win USING (key)
+            WHERE place.size = win.size
+        ), per AS (
+            SELECT doc_id, count(DISTINCT word) AS n_hit FROM (
+                SELECT doc_id, unnest(range(pos, pos + size)) AS word FROM hit
+            ) GROUP BY doc_id
+        ), items AS (
+            SELECT doc_id, count(*) AS n_items, string_agg(name, ',' ORDER BY name) AS names
+            FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS name FROM hit) GROUP BY doc_id
+        )
+        SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+            coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(names, '')) AS items_sha256,
+            coalesce(n_hit, 0) > 0 AS contaminated
+        FROM doc LEFT JOIN per USING (doc_id) LEFT JOIN items USING (doc_id)
+    """,
+}
