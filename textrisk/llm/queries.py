@@ -11,6 +11,7 @@ from textrisk.llm import (
     language,
     mixing,
     ngram_join,
+    privacy,
     quality,
     suffix_match,
     warc,
@@ -102,6 +103,17 @@ def op9_top_products(spark: SparkSession, folder: str) -> DataFrame:
     return cover_tree.top_products(vectors, queries)
 
 
+def op10_privacy(spark: SparkSession, folder: str) -> DataFrame:
+    found = privacy.find_personal_data(_table(spark, folder, "documents"))
+    base = F.col("base")
+    return found.select(
+        "doc_id",
+        *[privacy.count_of(base, kind).alias(f"n_{kind}") for kind in privacy.KINDS],
+        F.sha2(privacy.listed(base), 256).alias("base_sha256"),
+        privacy.listed(F.concat(base, F.col("terms"))).alias("spans"),
+    )
+
+
 QUERIES = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
     "op2_quality": op2_quality,
@@ -111,6 +123,7 @@ QUERIES = {
     "op7_decontamination": op7_decontamination,
     "op8_chat": op8_chat,
     "op9_top_products": op9_top_products,
+    "op10_privacy": op10_privacy,
 }
 
 _LOWERED = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
