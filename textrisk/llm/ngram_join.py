@@ -5,9 +5,9 @@ The work is cut so that no group grows without bound and no pair of a group is w
 1. Each text becomes a set of 64-bit n-gram hashes. Texts with equal sets form one class;
    only classes go on.
 2. Two sets that are similar enough differ in at most ``d`` elements. The hash range is cut
-   into ``d + 1`` parts, so similar sets agree in at least one whole part. A hash of each part
-   is the posting by which classes meet; the part sizes follow the set size, so parts agree
-   by chance only in tiny sets.
+   into somewhat more than ``d`` parts. If more than ``d`` parts of a set have elements, it
+   agrees with each similar set in at least one of them. A hash of such a part is the posting
+   by which classes meet. The few sets with too many parts without elements post these too.
 3. Classes that share a posting are tied to the smallest of them. Components of these ties
    hold every similar pair. They are dealt into tasks of bounded size; a large component is
    cut into blocks, and each pair of blocks is one task.
@@ -26,7 +26,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from textrisk.llm.components import connected
@@ -60,10 +60,11 @@ class Threshold:
             firsts.append(self.largest_partner(firsts[-1]) + 1)
         return np.array(firsts)
 
-    def parts(self, last_size: int) -> int:
-        """Parts that sets of up to ``last_size`` elements and their larger partners need."""
+    def differences(self, last_size: int) -> int:
+        """Most elements in which a set of up to ``last_size`` elements and a larger one that is
+        similar differ."""
         both = last_size + self.largest_partner(last_size)
-        return both * (self.whole - self.share) // (self.whole + self.share) + 1
+        return both * (self.whole - self.share) // (self.whole + self.share)
 
 
 def gram_sets(column: pa.Array, grams: int) -> Iterator[np.ndarray]:
@@ -108,37 +109,48 @@ def postings(grams: np.ndarray, firsts: np.ndarray, threshold: Threshold) -> np.
     for cls in (own, own - 1):
         if cls < 0:
             continue
-        parts = threshold.parts(int(firsts[cls + 1]) - 1)
+        differences = threshold.differences(int(firsts[cls + 1]) - 1)
+        # A set without differences is one part.
+        parts = differences + differences // 8 + 3 if differences else 1
         edges = np.arange(1, parts, dtype=np.uint64) * np.uint64(((1 << 64) - 1) // parts)
         cuts = np.concatenate([[0], np.searchsorted(grams, edges), [size]])
         inside = sums[cuts[1:]] - sums[cuts[:-1]]
         label = np.arange(parts, dtype=np.uint64) + np.uint64(cls << 40)
-        found.append(mix(inside + mix(label + np.uint64(1))))
+        hashes = mix(inside + mix(label + np.uint64(1)))
+        filled = cuts[1:] > cuts[:-1]
+        found.append(hashes[filled] if filled.sum() > differences else hashes)
     return np.concatenate(found).view(np.int64)
 
 
-def _set_rows(batches, grams: int, threshold: Threshold):
-    firsts = threshold.size_classes(1)
+def _set_rows(batches, grams: int):
     for batch in batches:
-        sizes, ids, found = [], [], []
+        sizes, ids = [], []
         for one in gram_sets(batch.column(1), grams):
             sizes.append(len(one))
-            if not len(one):
-                ids.append(None)
-                found.append(None)
+            ids.append(set_hash(one) if len(one) else None)
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), pa.array(sizes, pa.int64()), pa.array(ids, pa.int64())],
+            names=["doc_id", "n_shingles", "set_id"],
+        )
+
+
+def _posting_rows(batches, grams: int, threshold: Threshold):
+    """The postings of each set that the task has not met before."""
+    firsts = threshold.size_classes(1)
+    met: set[int] = set()
+    for batch in batches:
+        found, owners = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for one in gram_sets(batch.column(0), grams):
+            if not len(one) or (name := set_hash(one)) in met:
                 continue
+            met.add(name)
             if len(one) >= firsts[-1]:
                 firsts = threshold.size_classes(len(one))
-            ids.append(set_hash(one))
             found.append(postings(one, firsts, threshold))
+            owners.append(np.full(len(found[-1]), name))
         yield pa.RecordBatch.from_arrays(
-            [
-                batch.column(0),
-                pa.array(sizes, pa.int64()),
-                pa.array(ids, pa.int64()),
-                pa.array(found, pa.list_(pa.int64())),
-            ],
-            names=["doc_id", "n_shingles", "set_id", "postings"],
+            [pa.array(np.concatenate(found)), pa.array(np.concatenate(owners))],
+            names=["posting", "set_id"],
         )
 
 
@@ -288,30 +300,20 @@ def similar_components(
     rows = documents.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
     sets = staged(
         rows.mapInArrow(
-            lambda batches: _set_rows(batches, grams, threshold),
-            "doc_id bigint, n_shingles bigint, set_id bigint, postings array<bigint>",
+            lambda batches: _set_rows(batches, grams), "doc_id bigint, n_shingles bigint, set_id bigint"
         )
     )
-    known = sets.where("doc_id is not null and set_id is not null")
     classes = staged(
-        known.groupBy("set_id").agg(
-            F.min("doc_id").alias("class_doc"), F.max("n_shingles").alias("grams")
-        )
-    )
-    # One document stands for its class; a doc_id may stand for several.
-    stands = known.join(
-        classes.select("set_id", F.col("class_doc").alias("doc_id")), ["set_id", "doc_id"],
-        "left_semi",
+        sets.where("doc_id is not null and set_id is not null")
+        .groupBy("set_id")
+        .agg(F.min("doc_id").alias("class_doc"), F.max("n_shingles").alias("grams"))
     )
-    entries = stands.select(F.explode("postings").alias("posting"), "set_id")
-    shared = (
-        entries.groupBy("posting")
-        .agg(F.min("set_id").alias("hub"), F.max("set_id").alias("top"))
-        .where("hub <> top")
-        .drop("top")
+    entries = rows.where("doc_id is not null").select("text").mapInArrow(
+        lambda batches: _posting_rows(batches, grams, threshold), "posting bigint, set_id bigint"
     )
+    hub = F.min("set_id").over(Window.partitionBy("posting"))
     ties = staged(
-        entries.join(shared, "posting").where("set_id <> hub").select("hub", "set_id").distinct()
+        entries.withColumn("hub", hub).where("set_id <> hub").select("hub", "set_id").distinct()
     )
     tied = staged(
         connected(ties, "hub", "set_id")
@@ -334,8 +336,7 @@ def similar_components(
     firsts = grouped.groupBy("label").agg(F.min("class_doc").alias("component_id"))
     component = grouped.join(firsts, "label").select("set_id", "component_id")
     return (
-        sets.drop("postings")
-        .join(component, "set_id", "left")
+        sets.join(component, "set_id", "left")
         .select(
             "doc_id", "n_shingles", "set_id",
             F.when(F.col("set_id").isNull(), F.col("doc_id"))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from textrisk.llm import (
     chat,
     cover_tree,
+    html_text,
     language,
     mixing,
     ngram_join,
@@ -44,6 +45,11 @@ def op2_quality(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op3_html(spark: SparkSession, folder: str) -> DataFrame:
+    pages = _table(spark, folder, "pages")
+    return html_text.extract_text(pages, html_text.fit_node_trees(pages))
+
+
 def op4_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix_sources(_table(spark, folder, "documents")).select(
         "doc_id", "source", "mix_epoch", "mix_block", "mix_tokens"
@@ -117,6 +123,7 @@ def op10_privacy(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
     "op2_quality": op2_quality,
+    "op3_html": op3_html,
     "op4_mixing": op4_mixing,
     "op5_warc": op5_warc,
     "op6_language": op6_language,
