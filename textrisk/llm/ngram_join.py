@@ -322,7 +322,8 @@ def similar_components(
         .join(classes, "set_id")
     )
     tasks, bins = _deal(tied, block_grams)
-    texts = rows.join(tasks.withColumnRenamed("class_doc", "doc_id"), "doc_id")
+    # The tasks grow with the documents, so neither side is broadcast at any size.
+    texts = rows.hint("merge").join(tasks.withColumnRenamed("class_doc", "doc_id"), "doc_id")
     links = staged(
         texts.repartition(bins, "task", "left_block", "right_block")
         .groupBy("task", "left_block", "right_block")

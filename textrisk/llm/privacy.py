@@ -241,7 +241,8 @@ def sanitise(documents: DataFrame, limits: Disclosure = Disclosure()) -> DataFra
         .dropDuplicates(["row_key"])
     )
     key = F.xxhash64(F.col("doc_id").cast("string"), F.col("_text"))
-    joined = marked.withColumn("_row_key", key).join(
+    # The spans grow with the documents, so neither side is broadcast at any size.
+    joined = marked.withColumn("_row_key", key).hint("merge").join(
         spans.withColumnRenamed("row_key", "_row_key"), "_row_key", "left"
     )
     cleaned = F.when(F.col("_spans").isNull(), F.col("text")).otherwise(
