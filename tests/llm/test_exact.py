@@ -300,7 +300,8 @@ def brute_mix(rows, target):
             step += 1
     out = []
     for source, weight in measures(step)[0].items() if tokens else ():
-        budget = math.floor(weight * total * target.budget_share)
+        exact = weight * total * target.budget_share
+        budget = math.floor(exact + exact * 1e-12 + 1e-9)
         passes, rest = divmod(budget, tokens[source])
         own = [(doc_id, words(text)) for doc_id, s, text in rows if s == source]
         key = lambda d: hashlib.md5(f"{target.seed}:{passes}:{'' if d is None else d}".encode()).hexdigest()

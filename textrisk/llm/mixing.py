@@ -110,7 +110,9 @@ def source_plan(tokens: DataFrame, target: MixTarget) -> tuple[DataFrame, int]:
     power = F.pow("share", F.lit(step / GRID))
     plan = sources.withColumn("power", power)
     norm = plan.agg(F.sum("power")).first()[0] or 1.0
-    budget = F.floor(F.col("power") / F.lit(norm) * F.lit(float(total or 0) * target.budget_share))
+    exact = F.col("power") / F.lit(norm) * F.lit(float(total or 0) * target.budget_share)
+    # A budget that is a whole number up to rounding is that number.
+    budget = F.floor(exact + exact * F.lit(1e-12) + F.lit(1e-9))
     plan = plan.select(
         "source", "tokens", (F.col("power") / F.lit(norm)).alias("weight"), budget.alias("budget")
     )

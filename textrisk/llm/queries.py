@@ -161,9 +161,12 @@ ORACLES: dict[str, str] = {
             WHERE step >= (SELECT step FROM spread) AND (most <= 4 + 1e-9 OR step = 4096)
         ), raised AS (
             SELECT source, tokens, pow(share, (SELECT step FROM chosen) / 4096.0::DOUBLE) AS power FROM share
+        ), exact AS (
+            SELECT source, tokens, power / (SELECT sum(power) FROM raised)
+                * (SELECT sum(tokens) FROM src)::DOUBLE AS exact FROM raised
         ), budget AS (
-            SELECT source, tokens, floor(power / (SELECT sum(power) FROM raised)
-                * (SELECT sum(tokens) FROM src)::DOUBLE)::BIGINT AS budget FROM raised
+            SELECT source, tokens, floor(exact + exact * 1e-12::DOUBLE + 1e-9::DOUBLE)::BIGINT AS budget
+            FROM exact
         ), plan AS (
             SELECT *, budget // tokens AS passes, budget % tokens AS rest FROM budget
         ), keyed AS (
