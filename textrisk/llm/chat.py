@@ -18,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from textrisk.llm.words import small_batches
+
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.json"
 TURN, TEXT, END = "<|turn|>", "<|text|>", "<|end|>"
 TRAINED_ROLE = "assistant"
@@ -136,6 +138,7 @@ def format_chats(conversations: DataFrame, tokenizer: str = TOKENIZER) -> DataFr
     turns, rows without ``conv_id`` form one conversation. Further columns are ignored.
     ``tokenizer`` is a file that every executor can read.
     """
+    small_batches(conversations.sparkSession)
     turns = F.struct(
         F.col("turn").alias("turn"),
         F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"),

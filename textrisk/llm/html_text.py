@@ -24,6 +24,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from textrisk.llm.words import small_batches
 from textrisk.session import staged
 
 #: Pages that the trees are fitted on, about.
@@ -377,6 +378,7 @@ def fit_node_trees(
 ) -> NodeTrees | None:
     """Fit on the nodes of about ``training_pages`` pages, drawn by a hash of the page; None if
     they do not show both classes."""
+    small_batches(pages.sparkSession)
     sources = pages.select(F.col("html").cast("string").alias("html")).where("html is not null")
     share = min(1.0, training_pages / max(sources.count(), 1))
     drawn = sources.where(F.pmod(F.xxhash64("html"), F.lit(1_000_000)) < int(share * 1_000_000))
@@ -448,6 +450,7 @@ def extract_text(pages: DataFrame, trees: NodeTrees | None) -> DataFrame:
     (nothing to learn from), all text outside of marked furniture is kept. Further columns are
     ignored.
     """
+    small_batches(pages.sparkSession)
     rows = pages.select("page_id", "url", F.col("html").cast("string").alias("html"))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema[:-1])
     return rows.mapInArrow(

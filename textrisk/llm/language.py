@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textrisk.llm.sums import array_sums
-from textrisk.llm.words import slices
+from textrisk.llm.words import SLICE_BYTES, slices, small_batches
 
 DIMENSIONS = 1024
 UNKNOWN = "und"
@@ -29,8 +29,8 @@ MOST_LANGUAGES = 1000
 # same sum in any order.
 _DOCUMENT_WEIGHT = 1 << 20
 # Trigrams turned into vectors at once, and cells of a count matrix.
-_TRIGRAM_BLOCK = 8192
-_MATRIX_CELLS = 1 << 22
+_TRIGRAM_BLOCK = 2048
+_MATRIX_CELLS = 1 << 20
 
 
 @cache
@@ -126,7 +126,7 @@ def document_vectors(texts: list[str | None], dimensions: int) -> np.ndarray:
 def _profile_rows(batches, dimensions: int):
     sums: dict[str, np.ndarray] = {}
     for batch in batches:
-        for begin, end in slices(batch.column(1)):
+        for begin, end in slices(batch.column(1), SLICE_BYTES // 2):
             languages = np.array(batch.column(0).slice(begin, end - begin).to_pylist(), object)
             found = trigrams(batch.column(1).slice(begin, end - begin).to_pylist())
             lengths = np.bincount(found.texts, minlength=end - begin)
@@ -170,6 +170,7 @@ def fit_profiles(
     labelled: DataFrame, dimensions: int = DIMENSIONS, most_languages: int = MOST_LANGUAGES
 ) -> LanguageProfiles:
     """Prototypes of all languages from all rows of ``lang`` and ``text`` without nulls."""
+    small_batches(labelled.sparkSession)
     rows = labelled.select("lang", "text").where("lang is not null and text is not null")
     partial = rows.mapInArrow(
         lambda batches: _profile_rows(batches, dimensions), "lang string, vector array<bigint>"
@@ -181,7 +182,7 @@ def fit_profiles(
 
 def _predict_rows(batches, profiles: LanguageProfiles):
     for batch in batches:
-        for begin, end in slices(batch.column(batch.num_columns - 1)):
+        for begin, end in slices(batch.column(batch.num_columns - 1), SLICE_BYTES // 2):
             part = batch.slice(begin, end - begin)
             texts = part.column(part.num_columns - 1).to_pylist()
             names, scores = [], []
@@ -208,6 +209,7 @@ def predict_language(
     Texts that are null or have no letter are ``und`` with score 0, as is every text if
     nothing was learned. Ties go to the language that comes first in the alphabet.
     """
+    small_batches(documents.sparkSession)
     rows = documents.select(*keep, F.col("text").cast("string").alias("_text"))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema[:-1])
     return rows.mapInArrow(

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from textrisk.llm.components import connected
-from textrisk.llm.words import SPACED, chain, find_words, mix, slices, text_bytes
+from textrisk.llm.words import SPACED, chain, find_words, mix, slices, small_batches, text_bytes
 from textrisk.session import staged
 
 #: N-grams of the sets in one block; a task holds two blocks.
@@ -297,6 +297,7 @@ def similar_components(
     the texts are similar. A row without ``doc_id`` takes part in no link; its component is
     null. Further columns are ignored.
     """
+    small_batches(documents.sparkSession)
     rows = documents.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
     sets = staged(
         rows.mapInArrow(

@@ -9,7 +9,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from textrisk.llm.sums import array_sums
-from textrisk.llm.words import SPACED, WordClass, chain, find_words, slices, text_bytes
+from textrisk.llm.words import (
+    SPACED,
+    WordClass,
+    chain,
+    find_words,
+    slices,
+    small_batches,
+    text_bytes,
+)
 
 LINES = WordClass(lambda b: b != 10)
 
@@ -112,6 +120,7 @@ def _statistic_rows(batches):
 
 def with_statistics(documents: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
     """The columns ``keep`` and the array ``statistics`` of each row's whole text."""
+    small_batches(documents.sparkSession)
     rows = documents.select(*keep, documents[text].cast("string").alias("_text"))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema[:-1])
     return rows.mapInArrow(_statistic_rows, f"{schema}, statistics array<double>")

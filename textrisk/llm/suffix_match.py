@@ -19,7 +19,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from textrisk.llm.words import ALPHANUMERIC, Words, chain, find_words, slices, text_bytes
+from textrisk.llm.words import (
+    ALPHANUMERIC,
+    Words,
+    chain,
+    find_words,
+    slices,
+    small_batches,
+    text_bytes,
+)
 from textrisk.session import staged
 
 WINDOW = 10
@@ -218,6 +226,7 @@ def find_overlaps(
     once. Every row of ``documents`` gives one row, repeated ones too; further columns are
     ignored.
     """
+    small_batches(documents.sparkSession)
     rows = documents.select(
         F.col("text").cast("string").alias("text"),
         F.col("doc_id"),
@@ -259,6 +268,7 @@ def remove_overlapping(
 ) -> DataFrame:
     """The rows of ``documents`` in whose ``text`` no window of a test item occurs, with all
     their columns. One pass over the documents for each block of items."""
+    small_batches(documents.sparkSession)
     text = documents.columns.index("text")
     kept = documents
     for block, _, items in _blocks(benchmark, block_bytes):

@@ -23,6 +23,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from textrisk.llm.words import small_batches
 from textrisk.session import staged
 
 #: An archive is closed after the batch of rows with which it reaches this many bytes.
@@ -164,6 +165,7 @@ def write_archives(
     row without ``page_id`` is always a response. Repeated rows give repeated records. Further
     columns are ignored.
     """
+    small_batches(pages.sparkSession)
     rows = pages.select(
         F.col("page_id").cast("bigint").alias("page_id"), F.col("url").cast("string").alias("url"),
         F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"),

@@ -11,9 +11,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import SparkSession
+
+#: Rows handed to a Python task at once, at most.
+BATCH_ROWS = 1000
 
 # Texts are worked on in slices of about so many bytes; one longer text is its own slice.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 _ODD = np.uint64(0xD6E8FEB86659FD93)
@@ -32,6 +36,13 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Let the session hand rows to Python tasks in batches that a small executor can hold."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
 class WordClass:
     """Which bytes make up words; ``contains`` is asked for each byte after A-Z became a-z."""
 
