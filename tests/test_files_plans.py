@@ -82,8 +82,10 @@ def test_prepare_and_label_sample(spark, exports, tmp_path):
     assert sorted(r.label_id for r in rows) == [1, 2, 3, 4]
     assert all(r.user.startswith("user_") for r in rows)
     summary = json.loads(spark.read.text(summary_path).first()[0])
-    assert summary["files"]["one.json"] == {
-        "raw_messages": 9, "kept_messages": 5, "service_or_non_message": 2, "empty_text": 2
+    files = {r.file: r.asDict() for r in spark.read.json(f"{summary_path}_files").collect()}
+    assert "files" not in summary and files["one.json"] == {
+        "file": "one.json", "raw_messages": 9, "kept_messages": 5, "service_or_non_message": 2,
+        "empty_text": 2,
     }
     assert (summary["total_raw_messages"], summary["total_kept_messages"]) == (10, 6)
     assert summary["anonymous_users"] == 3 and summary["labeling_sample_size"] == 4
@@ -94,6 +96,28 @@ def test_prepare_and_label_sample(spark, exports, tmp_path):
     assert back.first().label_source.startswith("auto_rules")
 
 
+def test_label_a_file_of_few_columns_keeps_added_ones(spark, tmp_path):
+    path, out = str(tmp_path / "few"), str(tmp_path / "labelled")
+    rows = [("a сука", 1, 0, 0.9, "ann", "7"), ("b", 0, 0, 0.1, "bob", "1"), ("c", 0, 0, 0.2, "cy", None)]
+    names = "text string, profanity_count int, hostile_count int, risk_score double, reviewer string, `Toxic-Score` string"
+    write_sample(spark.createDataFrame(rows, names), path)
+    labeling.label_sample(spark, path, out)
+    back = read_sample(spark, out)
+    assert {"text", "toxic", "label_source", "reviewer", "Toxic-Score"} <= set(back.columns)
+    assert {(r.text, r.reviewer, r.toxic) for r in back.collect()} >= {("a сука", "ann", "1"), ("b", "bob", "0")}
+
+
+@pytest.mark.parametrize("read, text", [
+    (read_chat_exports, '{"name": "a", "messages": [{"id": 1, "type": "mess'),
+    (read_message_lines, '{"id": 1, "type": "message", "text": "a"}\n{"id": 2, "type": \n{"id": 3, "text": "c"}'),
+])
+def test_broken_json_fails(spark, tmp_path, read, text):
+    path = tmp_path / "broken.json"
+    path.write_text(text, encoding="utf-8")
+    with pytest.raises(Exception, match="(?i)malformed"):
+        read(spark, str(path)).collect()
+
+
 def sample_frame(spark, texts):
     frame = spark.createDataFrame(list(enumerate(texts, 1)), "label_id bigint, text string")
     types = dict(c.split(" ") for c in "date timestamp_ntz,hour int,risk_score double,caps_ratio double".split(","))

@@ -50,6 +50,10 @@ def test_score_column_names():
     assert labels.find_score_column(["score", "toxic_score"]) == "toxic_score"
     assert labels.find_score_column(["Токсичность"]) == "Токсичность"
     assert labels.find_score_column(["id"]) is None
+    # Runs of blanks, dashes and underscores are one separator; the last of equal names wins.
+    assert labels.find_score_column(["toxic_score", "note", "Toxic -Score"]) == "Toxic -Score"
+    assert labels.find_score_column(["_score_", "SCORE-toxicity"]) == "SCORE-toxicity"
+    assert labels.find_score_column(["toxicscore"]) is None
 
 
 def test_weak_labels_and_notes(spark):
@@ -203,10 +207,10 @@ def test_dataset_summary(spark):
     got = {r.metric: r.value for r in summary.dataset_summary(frame, 9).collect()}
     assert got == {
         "messages_used_in_notebook": "5", "messages_after_filtering_full": "9", "anonymous_users": "2",
-        "date_min": "2024-01-01 00:00:00", "date_max": "2024-04-30 18:00:00", "chats": "a, b",
+        "date_min": "2024-01-01 00:00:00", "date_max": "2024-04-30 18:00:00", "chats": "2",
     }
     many = spark.range(1500).select(
         F.col("id").cast("string").alias("chat"), F.col("id").alias("user"),
         F.lit(None).cast("timestamp_ntz").alias("date"),
     )
-    assert {r.metric: r.value for r in summary.dataset_summary(many).collect()}["chats"] == "1500 chats"
+    assert {r.metric: r.value for r in summary.dataset_summary(many).collect()}["chats"] == "1500"

@@ -31,6 +31,7 @@ from textrisk.operators.ordering import top_rows
 from textrisk.operators.sampling import assign_folds, learning_prefixes, stratified_subsample
 from textrisk.operators.summary import class_weights
 from textrisk.operators.textvec import FeatureModel, FeatureSpec
+from textrisk.session import staged
 
 _WEIGHT = "_weight"
 _VECTOR = "features"
@@ -70,13 +71,13 @@ def positive_weight(label: str, counts: ClassCounts) -> Column:
     return F.when(F.col(label) == 1, F.lit(float(counts.pos_weight))).otherwise(F.lit(1.0))
 
 
-# Rows per partition below which splitting a training set costs more than it gains.
-TRAINING_ROWS_PER_PARTITION = 5_000
+#: Partitions of a training set, at most: every training iteration is a job over all of them.
+TRAINING_PARTITIONS = 16
 
 
-def _compact(ready: DataFrame, rows: int) -> DataFrame:
-    """Few partitions for few rows: every training iteration is a job over all of them."""
-    return ready.coalesce(max(1, -(-rows // TRAINING_ROWS_PER_PARTITION)))
+def _ready(vectors: DataFrame) -> DataFrame:
+    """Vectors made with all tasks and staged, then read by a fixed number of them."""
+    return staged(vectors).coalesce(TRAINING_PARTITIONS)
 
 
 @dataclass(frozen=True)
@@ -118,7 +119,7 @@ class LogisticSpec:
         model = LogisticRegression(
             featuresCol=_VECTOR, labelCol=label, weightCol=_WEIGHT, maxIter=self.max_iter,
             standardization=False, regParam=1.0 / (self.c * counts.rows),
-        ).fit(_compact(ready.select(label, _VECTOR, _WEIGHT), counts.rows))
+        ).fit(_ready(ready.select(label, _VECTOR, _WEIGHT)))
         return FittedClassifier(block, lambda df: _positive(model, df), model)
 
 
@@ -139,7 +140,7 @@ class CalibratedSvmSpec:
         block = self.features.fit(train)
         ready = assign_folds(train, label, self.id_columns, folds, self.seed, "_fold")
         ready = block.transform(ready).withColumn(_WEIGHT, balanced_weight(label, counts))
-        ready = _compact(ready.select(label, _VECTOR, _WEIGHT, "_fold"), counts.rows)
+        ready = _ready(ready.select(label, _VECTOR, _WEIGHT, "_fold"))
         ready = ready.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             pairs = [self._fit_fold(ready, fold, label, counts) for fold in range(folds)]
@@ -192,7 +193,7 @@ class ForestSpec:
         model = RandomForestClassifier(
             featuresCol=_VECTOR, labelCol=label, weightCol=_WEIGHT, numTrees=self.trees,
             minInstancesPerNode=self.min_leaf, maxDepth=self.depth, seed=self.seed,
-        ).fit(_compact(ready.select(label, _VECTOR, _WEIGHT), counts.rows))
+        ).fit(_ready(ready.select(label, _VECTOR, _WEIGHT)))
         return FittedClassifier(block, lambda df: _positive(model, df), model)
 
 
@@ -222,7 +223,7 @@ class BoostedSpec:
             maxDepth=self.depth, stepSize=self.rate, subsamplingRate=self.row_share,
             featureSubsetStrategy=str(self.column_share), minInstancesPerNode=self.min_leaf,
             seed=self.seed,
-        ).fit(_compact(ready.select(label, _VECTOR, _WEIGHT), counts.rows))
+        ).fit(_ready(ready.select(label, _VECTOR, _WEIGHT)))
         return FittedClassifier(block, lambda df: _positive(model, df), model)
 
 

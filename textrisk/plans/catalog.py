@@ -382,7 +382,7 @@ def sample_file(spark: SparkSession, folder: str) -> DataFrame:
     names = message_ops.pseudonyms(featured.select("raw_user_id"))
     sample = sampling.labeling_sample(featured, 200, SEED, F.col("risk_score") > 1)
     named = lookups.join_lookup(sample, names, "raw_user_id", "user_rows")
-    samples.write_sample(named, path)
+    samples.write_sample(named.select(*fixed.SAMPLE_COLUMNS), path)
     return rounded(samples.read_sample(spark, path), ["risk_score", "caps_ratio"])
 
 

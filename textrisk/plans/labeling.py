@@ -44,7 +44,8 @@ def prepare_sample(
     messages = message_table(raw, lexicon, count_shouted=True)
     names = pseudonyms(messages.select("raw_user_id"))
     sample = labeling_sample(messages, size, seed, candidate)
-    write_sample(join_lookup(sample, names, "raw_user_id", "user_rows"), sample_path, rounded=True)
+    named = join_lookup(sample, names, "raw_user_id", "user_rows")
+    write_sample(named.select(*fixed.SAMPLE_COLUMNS), sample_path, rounded=True)
     written = read_sample(spark, sample_path)
     write_summary(file_counters(raw), names.count(), written.count(), sample_path, summary_path)
     return written

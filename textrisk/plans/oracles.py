@@ -285,7 +285,7 @@ ORACLES["numeric_coercion"] = r"""SELECT event_id, coalesce(try_cast(
 ORACLES["dataset_summary"] = f"""WITH {_RISK}, wide AS (
   SELECT count(*)::VARCHAR AS n, count(DISTINCT raw_user_id)::VARCHAR AS users,
     strftime(min(date), '%Y-%m-%d %H:%M:%S') AS first, strftime(max(date), '%Y-%m-%d %H:%M:%S') AS last,
-    string_agg(DISTINCT chat, ', ' ORDER BY chat) AS chats FROM scored)
+    count(DISTINCT chat)::VARCHAR AS chats FROM scored)
 SELECT 'messages_used_in_notebook' AS metric, n AS value FROM wide
 UNION ALL SELECT 'messages_after_filtering_full', n FROM wide
 UNION ALL SELECT 'anonymous_users', users FROM wide

@@ -20,14 +20,14 @@ _FLAT = ("id", "type", "date", "date_unixtime", "from_id")
 def read_chat_exports(
     spark: SparkSession, paths: str | Sequence[str], spread: int | None = None
 ) -> DataFrame:
-    """Raw messages of all exports; a missing path fails the read.
+    """Raw messages of all exports; a missing path or a broken document fails the read.
 
     One export is one JSON document and is parsed by one task, so many exports run in
     parallel but a single one does not. ``spread`` redistributes the messages afterwards.
     For exports too large for one task use one message per line (``read_message_lines``).
     A file without messages yields one row with ``present`` false, so it can be counted.
     """
-    exports = spark.read.schema(EXPORT_SCHEMA).option("multiLine", True).json(paths)
+    exports = spark.read.schema(EXPORT_SCHEMA).option("multiLine", True).option("mode", "FAILFAST").json(paths)
     exploded = exports.select(
         F.col("_metadata.file_name").alias("file"), F.explode_outer("messages").alias("m")
     )
@@ -41,8 +41,9 @@ def read_chat_exports(
 
 
 def read_message_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """Raw messages from files with one message object per line: splittable."""
-    lines = spark.read.schema(MESSAGE_FIELDS).json(paths)
+    """Raw messages from files with one message object per line: splittable. A broken line
+    fails the read."""
+    lines = spark.read.schema(MESSAGE_FIELDS).option("mode", "FAILFAST").json(paths)
     return _flat_messages(lines)
 
 

@@ -5,12 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textrisk.functions import fixed
 from textrisk.functions.risk import round_for_sink
-from textrisk.operators.checks import require_columns
 from textrisk.operators.messages import counter_totals
 
 _TYPES = {
@@ -18,28 +17,27 @@ _TYPES = {
     "char_len": "int", "word_count": "int", "profanity_count": "int", "hostile_count": "int",
     "exclamation_count": "int", "question_count": "int", "caps_ratio": "double",
 }
+_ROUNDED = ("risk_score", "caps_ratio")
 _CSV = {
     "header": True, "escape": '"', "encoding": "UTF-8",
     "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss[.SSSSSS]",
 }
-NAMED_FILES = 10_000
 
 
 def write_sample(sample: DataFrame, path: str, rounded: bool = False) -> None:
-    """Write the sample's columns in their fixed order, sorted by label id.
+    """Write the sample's columns in their fixed order, then all others, sorted by label id.
 
-    Spark writes UTF-8 without a byte order mark; ``read_sample`` accepts files with one.
+    A file need not have all of the fixed columns. Spark writes UTF-8 without a byte order mark; ``read_sample`` accepts files with one.
     """
-    require_columns(sample, fixed.SAMPLE_COLUMNS)
-    columns = [F.col(c) for c in fixed.SAMPLE_COLUMNS]
-    if rounded:
-        columns = [
-            round_for_sink(c).alias(c) if c in ("risk_score", "caps_ratio") else F.col(c)
-            for c in fixed.SAMPLE_COLUMNS
-        ]
-    extra = [c for c in ("label_source",) if c in sample.columns]
-    ordered = sample.orderBy("label_id").select(*columns, *extra)
-    ordered.write.mode("overwrite").options(**_CSV).csv(path)
+    known = [name for name in fixed.SAMPLE_COLUMNS if name in sample.columns]
+    others = [name for name in sample.columns if name not in known]
+
+    def cell(name: str) -> Column:
+        column = F.col(f"`{name}`")
+        return round_for_sink(column).alias(name) if rounded and name in _ROUNDED else column
+
+    ordered = sample.orderBy("label_id") if "label_id" in known else sample
+    ordered.select(*[cell(name) for name in [*known, *others]]).write.mode("overwrite").options(**_CSV).csv(path)
 
 
 def read_sample(spark: SparkSession, path: str) -> DataFrame:
@@ -84,23 +82,10 @@ def ensure_sample(
 
 
 def run_summary(counters: DataFrame, users: int, sample_rows: int, sample_path: str) -> DataFrame:
-    """One row: counters per file (a map), totals, users and the sample's size and place.
-
-    With more than ``NAMED_FILES`` files the map is null; ``write_summary`` then writes
-    the counters beside it, one line per file.
-    """
+    """One row: totals over all files, users and the sample's size and place."""
     totals = counter_totals(counters)
-    entry = F.struct(
-        "file",
-        F.struct("raw_messages", "kept_messages", "service_or_non_message", "empty_text"),
-    )
-    named = counters.limit(NAMED_FILES + 1).agg(F.collect_list(entry).alias("files"))
-    return named.select(
-        F.when(F.size("files") <= NAMED_FILES, F.map_from_entries("files")).alias("files")
-    ).withColumns(
+    return totals.select("total_raw_messages", "total_kept_messages").withColumns(
         {
-            "total_raw_messages": totals.select("total_raw_messages").scalar(),
-            "total_kept_messages": totals.select("total_kept_messages").scalar(),
             "anonymous_users": F.lit(users).cast("bigint"),
             "labeling_sample_size": F.lit(sample_rows).cast("bigint"),
             "labeling_sample_path": F.lit(sample_path),
@@ -111,6 +96,6 @@ def run_summary(counters: DataFrame, users: int, sample_rows: int, sample_path:
 def write_summary(
     counters: DataFrame, users: int, sample_rows: int, sample_path: str, path: str
 ) -> None:
+    """The summary, and beside it (``<path>_files``) the counters, one line per file."""
     run_summary(counters, users, sample_rows, sample_path).write.mode("overwrite").json(path)
-    if counters.limit(NAMED_FILES + 1).count() > NAMED_FILES:
-        counters.write.mode("overwrite").json(f"{path.rstrip('/')}_files")
+    counters.write.mode("overwrite").json(f"{path.rstrip('/')}_files")
