@@ -31,6 +31,8 @@ _DOCUMENT_WEIGHT = 1 << 20
 # Trigrams turned into vectors at once, and cells of a count matrix.
 _TRIGRAM_BLOCK = 2048
 _MATRIX_CELLS = 1 << 20
+# Trigrams whose vectors a task keeps, at most.
+_KEPT_TRIGRAMS = 16384
 
 
 @cache
@@ -45,6 +47,20 @@ def _letter(code: int, dimensions: int) -> np.ndarray:
     return draws * 2 - 1
 
 
+# Bound vectors of this process, by dimensions: sorted trigrams and their vectors.
+_kept: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+
+def _bind(codes: np.ndarray, dimensions: int) -> np.ndarray:
+    letters, places = np.unique(codes, return_inverse=True)
+    table = np.stack([_letter(int(code), dimensions) for code in letters])
+    places = places.reshape(codes.shape)
+    bound = np.roll(table, 2, axis=1)[places[:, 0]]
+    bound *= np.roll(table, 1, axis=1)[places[:, 1]]
+    bound *= table[places[:, 2]]
+    return bound
+
+
 @dataclass(frozen=True)
 class Trigrams:
     """Trigram occurrences of some texts: the text, and the number of the trigram among the
@@ -59,14 +75,20 @@ class Trigrams:
             yield begin, min(begin + _TRIGRAM_BLOCK, len(self.codes))
 
     def vectors(self, begin: int, end: int, dimensions: int) -> np.ndarray:
+        """Bound vectors of some trigrams; those of earlier texts are kept, up to a bound."""
         codes = self.codes[begin:end]
-        letters, places = np.unique(codes, return_inverse=True)
-        table = np.stack([_letter(int(code), dimensions) for code in letters])
-        places = places.reshape(codes.shape)
-        bound = np.roll(table, 2, axis=1)[places[:, 0]]
-        bound *= np.roll(table, 1, axis=1)[places[:, 1]]
-        bound *= table[places[:, 2]]
-        return bound
+        keys = (codes[:, 0] << 42) | (codes[:, 1] << 21) | codes[:, 2]
+        nothing = np.zeros(0, np.int64), np.zeros((0, dimensions), np.int8)
+        known, table = _kept.get(dimensions, nothing)
+        new = ~np.isin(keys, known)
+        if new.any():
+            if len(known) + new.sum() > _KEPT_TRIGRAMS:
+                (known, table), new = nothing, np.ones(len(keys), bool)
+            known = np.concatenate([known, keys[new]])
+            table = np.concatenate([table, _bind(codes[new], dimensions)])
+            order = np.argsort(known)
+            _kept[dimensions] = known, table = known[order], table[order]
+        return table[np.searchsorted(known, keys)]
 
     def counts(self, begin: int, end: int, first: int, last: int) -> np.ndarray:
         """Occurrences of trigrams ``begin`` to ``end`` in the texts ``first`` to ``last``."""
@@ -134,14 +156,15 @@ def _profile_rows(batches, dimensions: int):
             names = sorted(set(languages))
             kind = np.searchsorted(names, languages)
             for lo, hi in found.blocks():
-                bound = found.vectors(lo, hi, dimensions).astype(np.int64)
+                bound = found.vectors(lo, hi, dimensions).astype(np.float64)
                 inside = (found.numbers >= lo) & (found.numbers < hi)
                 text = found.texts[inside]
                 cells = np.bincount(
                     kind[text] * (hi - lo) + found.numbers[inside] - lo,
                     weights=weights[text], minlength=len(names) * (hi - lo),
-                ).astype(np.int64).reshape(len(names), hi - lo)
-                for name, added in zip(names, cells @ bound):
+                ).reshape(len(names), hi - lo)
+                # Whole numbers far below 2^53: the product is exact.
+                for name, added in zip(names, (cells @ bound).astype(np.int64)):
                     sums[name] = sums.get(name, 0) + added
     yield pa.RecordBatch.from_arrays(
         [
