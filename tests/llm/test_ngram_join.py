@@ -116,8 +116,11 @@ def test_similar_sets_share_a_posting(share):
                 continue
             common = len(np.intersect1d(one, other))
             if threshold.similar(common, len(one), len(other)):
-                left, right = postings(one, firsts, threshold), postings(other, firsts, threshold)
-                assert np.intersect1d(left, right).size
+                shares = [np.zeros(0, np.uint64), one[:: 3], one[: len(one) // 2], one, np.union1d(one, other)]
+                for common in shares:
+                    left = postings(one, firsts, threshold, common)
+                    right = postings(other, firsts, threshold, common)
+                    assert np.intersect1d(left, right).size
 
 
 @pytest.mark.parametrize("bucket", [1, 4, 512])

@@ -8,6 +8,8 @@ The work is cut so that no group grows without bound and no pair of a group is w
    into somewhat more than ``d`` parts. If more than ``d`` parts of a set have elements, it
    agrees with each similar set in at least one of them. A hash of such a part is the posting
    by which classes meet. The few sets with too many parts without elements post these too.
+   N-grams that very many sets have are left out where the others suffice, so that a passage
+   of many texts ties only texts that consist of such passages.
 3. Classes that share a posting are tied to the smallest of them. Components of these ties
    hold every similar pair. They are dealt into tasks of bounded size; a large component is
    cut into blocks, and each pair of blocks is one task.
@@ -35,6 +37,9 @@ from textrisk.session import staged
 
 #: N-grams of the sets in one block; a task holds two blocks.
 BLOCK_GRAMS = 500_000
+#: N-grams known to all tasks as common, at most, and of how many sets one must have them.
+COMMON_GRAMS = 50_000
+COMMON_SHARE = 2000
 
 
 @dataclass(frozen=True)
@@ -99,12 +104,31 @@ def set_hash(grams: np.ndarray) -> int:
     return int(mix(mix(grams).sum(dtype=np.uint64) + mix(seed)).view(np.int64)[0])
 
 
-def postings(grams: np.ndarray, firsts: np.ndarray, threshold: Threshold) -> np.ndarray:
-    """Hashes of the set's parts, for pairs with larger and with smaller partners."""
-    size = len(grams)
-    own = int(np.searchsorted(firsts, size, "right")) - 1
-    sums = np.zeros(size + 1, np.uint64)
+_NONE = np.zeros(0, np.uint64)
+
+
+def _part_hashes(grams: np.ndarray, parts: int, label: int) -> tuple[np.ndarray, np.ndarray]:
+    """A hash of each part, and which parts have elements."""
+    sums = np.zeros(len(grams) + 1, np.uint64)
     np.cumsum(mix(grams), out=sums[1:])
+    edges = np.arange(1, parts, dtype=np.uint64) * np.uint64(((1 << 64) - 1) // parts)
+    cuts = np.concatenate([[0], np.searchsorted(grams, edges), [len(grams)]])
+    inside = sums[cuts[1:]] - sums[cuts[:-1]]
+    labels = np.arange(parts, dtype=np.uint64) + np.uint64(label << 40)
+    return mix(inside + mix(labels + np.uint64(1))), cuts[1:] > cuts[:-1]
+
+
+def postings(
+    grams: np.ndarray, firsts: np.ndarray, threshold: Threshold, common: np.ndarray = _NONE
+) -> np.ndarray:
+    """Hashes of the set's parts, for pairs with larger and with smaller partners.
+
+    N-grams in ``common`` are left out first: without them two sets differ in no more elements
+    than with them. Only a set whose other n-grams fill too few parts also posts its parts with
+    them.
+    """
+    rare = grams[~np.isin(grams, common)] if len(common) else grams
+    own = int(np.searchsorted(firsts, len(grams), "right")) - 1
     found = []
     for cls in (own, own - 1):
         if cls < 0:
@@ -112,13 +136,11 @@ def postings(grams: np.ndarray, firsts: np.ndarray, threshold: Threshold) -> np.
         differences = threshold.differences(int(firsts[cls + 1]) - 1)
         # A set without differences is one part.
         parts = differences + differences // 8 + 3 if differences else 1
-        edges = np.arange(1, parts, dtype=np.uint64) * np.uint64(((1 << 64) - 1) // parts)
-        cuts = np.concatenate([[0], np.searchsorted(grams, edges), [size]])
-        inside = sums[cuts[1:]] - sums[cuts[:-1]]
-        label = np.arange(parts, dtype=np.uint64) + np.uint64(cls << 40)
-        hashes = mix(inside + mix(label + np.uint64(1)))
-        filled = cuts[1:] > cuts[:-1]
-        found.append(hashes[filled] if filled.sum() > differences else hashes)
+        hashes, filled = _part_hashes(rare, parts, 2 * cls)
+        found.append(hashes[filled])
+        if filled.sum() <= differences:
+            hashes, filled = _part_hashes(grams, parts, 2 * cls + 1)
+            found.append(hashes[filled] if filled.sum() > differences else hashes)
     return np.concatenate(found).view(np.int64)
 
 
@@ -134,7 +156,33 @@ def _set_rows(batches, grams: int):
         )
 
 
-def _posting_rows(batches, grams: int, threshold: Threshold):
+def _common_rows(batches, grams: int):
+    """N-grams that several different sets of a batch have, with the number of these sets."""
+    for batch in batches:
+        sets = {set_hash(one): one for one in gram_sets(batch.column(0), grams) if len(one)}
+        found, counts = np.unique(
+            np.concatenate([_NONE, *sets.values()]), return_counts=True
+        )
+        often = counts >= max(3, len(sets) // 200)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(found[often].view(np.int64)), pa.array(counts[often].astype(np.int64))],
+            names=["gram", "sets"],
+        )
+
+
+def _common_grams(texts: DataFrame, grams: int, classes: int) -> np.ndarray:
+    """The most common n-grams, at most ``COMMON_GRAMS``. Which they are decides how many
+    candidates there are, never which links are found."""
+    counted = texts.mapInArrow(
+        lambda batches: _common_rows(batches, grams), "gram bigint, sets bigint"
+    )
+    sums = counted.groupBy("gram").agg(F.sum("sets").alias("sets"))
+    often = sums.where(F.col("sets") >= max(10, classes // COMMON_SHARE))
+    top = often.orderBy(F.desc("sets"), "gram").limit(COMMON_GRAMS).collect()
+    return np.sort(np.array([row.gram for row in top], np.int64).view(np.uint64))
+
+
+def _posting_rows(batches, grams: int, threshold: Threshold, common: np.ndarray):
     """The postings of each set that the task has not met before."""
     firsts = threshold.size_classes(1)
     met: set[int] = set()
@@ -146,7 +194,7 @@ def _posting_rows(batches, grams: int, threshold: Threshold):
             met.add(name)
             if len(one) >= firsts[-1]:
                 firsts = threshold.size_classes(len(one))
-            found.append(postings(one, firsts, threshold))
+            found.append(postings(one, firsts, threshold, common))
             owners.append(np.full(len(found[-1]), name))
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.concatenate(found)), pa.array(np.concatenate(owners))],
@@ -309,8 +357,11 @@ def similar_components(
         .groupBy("set_id")
         .agg(F.min("doc_id").alias("class_doc"), F.max("n_shingles").alias("grams"))
     )
-    entries = rows.where("doc_id is not null").select("text").mapInArrow(
-        lambda batches: _posting_rows(batches, grams, threshold), "posting bigint, set_id bigint"
+    texts = rows.where("doc_id is not null").select("text")
+    common = _common_grams(texts, grams, classes.count())
+    entries = texts.mapInArrow(
+        lambda batches: _posting_rows(batches, grams, threshold, common),
+        "posting bigint, set_id bigint",
     )
     hub = F.min("set_id").over(Window.partitionBy("posting"))
     ties = staged(
@@ -324,9 +375,9 @@ def similar_components(
     )
     tasks, bins = _deal(tied, block_grams)
     # The tasks grow with the documents, so neither side is broadcast at any size.
-    texts = rows.hint("merge").join(tasks.withColumnRenamed("class_doc", "doc_id"), "doc_id")
+    members = rows.hint("merge").join(tasks.withColumnRenamed("class_doc", "doc_id"), "doc_id")
     links = staged(
-        texts.repartition(bins, "task", "left_block", "right_block")
+        members.repartition(bins, "task", "left_block", "right_block")
         .groupBy("task", "left_block", "right_block")
         .applyInPandas(lambda group: _task_links(group, grams, threshold), "a bigint, b bigint")
         .distinct()
