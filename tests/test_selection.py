@@ -113,10 +113,32 @@ def test_splits_folds_and_prefixes(spark):
         assert upto[1] == math.floor(0.1 * n + 0.5)
         assert upto[1] + upto[2] == math.floor(0.5 * n + 0.5) and sum(upto.values()) == n
     drawn = sampling.stratified_subsample(frame, "y", ["id"], 100).collect()
-    assert abs(len(drawn) - 100) <= 1
+    assert len(drawn) == 100
     assert sampling.stratified_subsample(frame, "y", ["id"], 500).count() == 500
 
 
+@pytest.mark.parametrize("size, ones, wanted", [(100, 25, 10), (10, 5, 5), (9, 3, 4), (7, 1, 0)])
+def test_subsample_and_holdout_are_exact(spark, size, ones, wanted):
+    frame = spark.createDataFrame([(i, int(i < ones)) for i in range(size)], "id int, y int")
+    drawn = Counter(r.y for r in sampling.stratified_subsample(frame, "y", ["id"], wanted).collect())
+    assert sum(drawn.values()) == wanted
+    assert abs(drawn[1] - wanted * ones / size) < 1
+    split = sampling.holdout_split(frame, "y", ["id"], 0.5)
+    assert split.where("is_test").count() == (size + 1) // 2
+
+
+def test_class_quotas():
+    assert sampling.class_quotas({0: 75, 1: 25}, 10) == {0: 8, 1: 2}  # 7.5 and 2.5
+    assert sampling.class_quotas({1: 50, 0: 50}, 5) == {0: 3, 1: 2}
+    assert sampling.class_quotas({None: 1, "a": 1, "b": 1}, 1) == {None: 1, "a": 0, "b": 0}
+
+
+def test_too_many_classes_fail(spark):
+    frame = spark.range(500).withColumn("y", F.col("id"))
+    with pytest.raises(ValueError, match="not a class column"):
+        sampling.assign_folds(frame, "y", ["id"])
+
+
 def test_position_without_strata(spark):
     frame = spark.createDataFrame([(i,) for i in range(100)], "k bigint")
     found = find_cuts(frame, "k", lambda n: [10, 60])

@@ -345,7 +345,7 @@ def size_sweep(
     total = train.count()
     rows = []
     for size in sorted({s for s in sizes if s <= total} | {total}):
-        drawn = stratified_subsample(train, label, id_columns, size, total, seed)
+        drawn = stratified_subsample(train, label, id_columns, size, seed)
         counts = count_classes(drawn, label)
         folds = _folds_for(counts.smallest, max_folds)
         folded = assign_folds(drawn, label, id_columns, folds, seed)

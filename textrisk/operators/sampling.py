@@ -9,14 +9,21 @@ that filter is found by a few counting passes over the key, so stage a costly fr
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from textrisk.functions import fixed
 from textrisk.functions.text import order_key
-from textrisk.operators.selection import StratumCuts, find_cuts, keep_first, position, take_first
+from textrisk.operators.selection import (
+    StratumCuts,
+    find_cuts,
+    keep_first,
+    position,
+    stratum_sizes,
+    take_first,
+)
 
 _KEY = "_order_key"
 
@@ -126,12 +133,25 @@ def _rounded(value: float) -> int:
     return math.floor(value + 0.5)
 
 
-def _first_share(
-    df: DataFrame, label: str, id_columns: Sequence[str], share: float, seed: str, name: str
+def class_quotas(sizes: Mapping[object, int], wanted: int) -> dict[object, int]:
+    """``wanted`` rows dealt to the classes by their shares, exactly: each gets the whole part
+    of its share, the rows left over go to the largest remainders (equal ones: smaller label)."""
+    total = sum(sizes.values())
+    quotas = {label: wanted * rows // total for label, rows in sizes.items()}
+    rest = sorted(
+        sizes, key=lambda label: (-(wanted * sizes[label] % total), label is not None, label)
+    )
+    for label in rest[: wanted - sum(quotas.values())]:
+        quotas[label] += 1
+    return quotas
+
+
+def _mark_first(
+    df: DataFrame, label: str, id_columns: Sequence[str], quotas: Mapping, seed: str, name: str
 ) -> DataFrame:
-    """Mark the first ``round(share * n)`` rows of each class, in seeded order."""
+    """Mark the first rows of each class in seeded order, as many as its quota."""
     keyed = df.withColumn(_KEY, order_key(seed, *id_columns))
-    cuts = find_cuts(keyed, _KEY, lambda n: [_rounded(share * n)], label)
+    cuts = find_cuts(keyed, _KEY, {stratum: [rows] for stratum, rows in quotas.items()}, label)
     marked = F.lit(False)
     for stratum, found in cuts.items():
         if found.cuts:
@@ -149,8 +169,10 @@ def holdout_split(
     seed: int = fixed.DEFAULT_SEED,
     name: str = "is_test",
 ) -> DataFrame:
-    """Mark ``round(share * n)`` rows of each class as test rows."""
-    return _first_share(df, label, id_columns, share, f"{seed}:holdout", name)
+    """Mark ``round(share * n)`` rows as test rows, with the class shares kept."""
+    sizes = stratum_sizes(df, label)
+    quotas = class_quotas(sizes, _rounded(share * sum(sizes.values()))) if sizes else {}
+    return _mark_first(df, label, id_columns, quotas, f"{seed}:holdout", name)
 
 
 def stratified_subsample(
@@ -158,14 +180,14 @@ def stratified_subsample(
     label: str,
     id_columns: Sequence[str],
     size: int,
-    total: int | None = None,
     seed: int = fixed.DEFAULT_SEED,
 ) -> DataFrame:
-    """About ``size`` rows with the class shares kept; everything when there are no more."""
-    total = df.count() if total is None else total
-    if size >= total:
+    """``size`` rows with the class shares kept; everything when there are no more."""
+    sizes = stratum_sizes(df, label)
+    if size >= sum(sizes.values()):
         return df
-    drawn = _first_share(df, label, id_columns, size / total, f"{seed}:subsample", "_drawn")
+    quotas = class_quotas(sizes, size)
+    drawn = _mark_first(df, label, id_columns, quotas, f"{seed}:subsample", "_drawn")
     return drawn.where("_drawn").drop("_drawn")
 
 

@@ -10,12 +10,14 @@ The result is one key per request, and the draw itself becomes a plain filter
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: Classes that a draw tells apart, at most; a pass brings back 4096 counters for each.
+MOST_STRATA = 100
 KEY_BITS = 60
 _SLICE_BITS = 12
 _SLICES = 1 << _SLICE_BITS
@@ -53,18 +55,29 @@ class _Search:
     found: int = 0
 
 
+def stratum_sizes(df: DataFrame, by: str) -> dict[object, int]:
+    """Rows per stratum; fails when ``by`` has more than ``MOST_STRATA`` values."""
+    sizes = df.groupBy(F.col(by).alias("stratum")).count().limit(MOST_STRATA + 1).collect()
+    if len(sizes) > MOST_STRATA:
+        raise ValueError(f"{by} has more than {MOST_STRATA} values: not a class column")
+    return {row["stratum"]: row["count"] for row in sizes}
+
+
 def find_cuts(
     df: DataFrame,
     key: str,
-    ranks: Callable[[int], Sequence[int]],
+    ranks: Callable[[int], Sequence[int]] | Mapping[object, Sequence[int]],
     by: str | None = None,
 ) -> dict[object, StratumCuts]:
-    """Cuts per stratum; ``ranks`` maps the stratum's row count to ranks (from 1).
+    """Cuts per stratum; ``ranks`` gives the ranks (from 1) by stratum, or from the stratum's
+    row count.
 
     Runs a few counting jobs (two on small data, at most ``KEY_BITS / 12``) over the two
     columns used; stage the frame first if these are costly to compute. Ranks outside
-    1..rows are skipped. The number of strata must be small (classes, not users).
+    1..rows are skipped. Fails when there are more than ``MOST_STRATA`` strata.
     """
+    if by is not None and not isinstance(ranks, Mapping):
+        stratum_sizes(df, by)  # a mapping was made from counted classes
     stratum = F.lit(0) if by is None else F.col(by)
     keyed = df.select(stratum.alias("stratum"), F.col(key).alias("key"))
     shift = KEY_BITS - _SLICE_BITS
@@ -75,7 +88,7 @@ def find_cuts(
     searches = [
         _Search(s, rank, rank)
         for s, rows in sizes.items()
-        for rank in sorted(set(ranks(rows)))
+        for rank in sorted(set(ranks.get(s, ()) if isinstance(ranks, Mapping) else ranks(rows)))
         if 1 <= rank <= rows
     ]
     while searches:

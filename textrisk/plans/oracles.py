@@ -171,13 +171,21 @@ def _draw(size: int, floor: float) -> str:
         AS label_id, * FROM drawn)"""
 
 
-def _class_rank(purpose: str) -> str:
-    return f"""ranked AS (
+def _class_rank(purpose: str, wanted: str = "0") -> str:
+    """``quota``: ``wanted`` rows (over the row count ``total``) dealt by largest remainder."""
+    return f"""sizes AS (
+      SELECT toxic, n, total, ({wanted})::BIGINT AS wanted
+      FROM (SELECT toxic, count(*) AS n, (SELECT count(*) FROM labels) AS total FROM labels GROUP BY toxic)),
+    quotas AS (
+      SELECT toxic, wanted * n // total + (row_number() OVER (ORDER BY wanted * n % total DESC, toxic)
+        <= wanted - sum(wanted * n // total) OVER ())::BIGINT AS quota FROM sizes),
+    ordered AS (
       SELECT doc_id, toxic,
         row_number() OVER (PARTITION BY toxic ORDER BY {_key(f"'42:{purpose}'", 'doc_id')}) AS rank,
         ntile(5) OVER (PARTITION BY toxic ORDER BY {_key(f"'42:{purpose}'", 'doc_id')}) AS piece,
         count(*) OVER (PARTITION BY toxic) AS n, count(*) OVER () AS total
-      FROM labels)"""
+      FROM labels),
+    ranked AS (SELECT * FROM ordered JOIN quotas USING (toxic))"""
 
 
 _SCORES = f"""{_FEATURED}, marked AS (
@@ -358,10 +366,11 @@ SELECT label_id, message_hash, date, hour, month, chat, user, text, NULL::VARCHA
 FROM sample"""
 ORACLES["unlabelled_documents"] = """SELECT source, count(*) AS documents FROM documents
 WHERE doc_id NOT IN (SELECT doc_id FROM labels) GROUP BY source"""
-ORACLES["holdout_split"] = f"""WITH {_class_rank('holdout')}
-SELECT doc_id, toxic, rank <= floor(0.2 * n + 0.5) AS is_test FROM ranked"""
-ORACLES["stratified_subsample"] = f"""WITH {_class_rank('subsample')}
-SELECT doc_id, toxic FROM ranked WHERE total <= 150 OR rank <= floor(150.0 / total * n + 0.5)"""
+_FIFTH = "floor(0.2 * total + 0.5)"
+ORACLES["holdout_split"] = f"""WITH {_class_rank('holdout', _FIFTH)}
+SELECT doc_id, toxic, rank <= quota AS is_test FROM ranked"""
+ORACLES["stratified_subsample"] = f"""WITH {_class_rank('subsample', 'least(150, total)')}
+SELECT doc_id, toxic FROM ranked WHERE rank <= quota"""
 ORACLES["kfold_assignment"] = f"""WITH {_class_rank('folds')}
 SELECT doc_id, toxic, (piece - 1)::INTEGER AS fold FROM ranked"""
 ORACLES["learning_prefixes"] = f"""WITH {_class_rank('prefix')}
@@ -393,8 +402,8 @@ SELECT doc_id, round((a - aa) / sa, 6) AS char_len, round((b - ab) / sb, 6) AS c
 FROM filled, moments"""
 
 ORACLES["feature_vectors"] = f"""WITH {_ngram_counts(2)},
-featured AS ({_features('clean', 'doc_id', 'text')}), {_class_rank('holdout')},
-split AS (SELECT doc_id, rank <= floor(0.2 * n + 0.5) AS is_test FROM ranked),
+featured AS ({_features('clean', 'doc_id', 'text')}), {_class_rank('holdout', _FIFTH)},
+split AS (SELECT doc_id, rank <= quota AS is_test FROM ranked),
 train AS (SELECT count(*) AS n FROM split WHERE NOT is_test),
 terms AS (
   SELECT term, ln((1.0::DOUBLE + any_value(n)) / (1.0::DOUBLE + count(*))) + 1.0::DOUBLE AS idf
