@@ -71,9 +71,10 @@ def test_tfidf_as_rows_and_as_vectors(spark, sublinear, max_df):
     texts = [t for _, t, _ in small_texts(60)] + ["tea tea tea cup", "nothing known"]
     expected = python_tfidf(texts, 2, 30, sublinear, max_df)
     frame = spark.createDataFrame(list(enumerate(texts)), "i int, text string")
-    counts = textvec.term_counts(textvec.add_terms(frame), ["i"])
+    counted = textvec.count_terms(textvec.add_terms(frame), ["i"])
+    counts = textvec.one_per_term(counted, ["i"])
     terms = textvec.vocabulary(counts, len(texts), 2, max_df, 30)
-    rows = textvec.term_weights(counts, terms, ["i"], sublinear).collect()
+    rows = textvec.term_weights(counted, terms, ["i"], sublinear).collect()
     as_rows = [{} for _ in texts]
     for r in rows:
         as_rows[r.i][r.term] = r.weight

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from textrisk.functions import dates, fixed, text
 from textrisk.operators.lookups import BROADCAST_ROWS, join_lookup
 from textrisk.operators.ordering import number_rows
+from textrisk.session import staged
 
 
 def is_ordinary() -> Column:
@@ -59,10 +60,13 @@ def clean_messages(raw: DataFrame) -> DataFrame:
 
 
 def file_counters(raw: DataFrame) -> DataFrame:
-    """Messages read, dropped and kept per file, from the raw frame. No mask is run."""
+    """Messages read, dropped and kept per file, from the raw frame. No mask is run.
+
+    A column ``visible`` tells which texts are not blank, for frames that carry no texts.
+    """
     present = F.col("present") if "present" in raw.columns else F.lit(True)
     ordinary = F.coalesce(is_ordinary(), F.lit(False))
-    visible = text.has_text("text")
+    visible = F.col("visible") if "visible" in raw.columns else text.has_text("text")
 
     def tally(condition: Column, name: str) -> Column:
         return F.count_if(present & condition).alias(name)
@@ -100,5 +104,5 @@ def pseudonymize(
     df: DataFrame, user: str = "raw_user_id", broadcast_rows: int = BROADCAST_ROWS
 ) -> DataFrame:
     """Replace raw ids by pseudonyms. Counts the users first (a job over one column)."""
-    names = pseudonyms(df.select(user), user)
+    names = staged(pseudonyms(df.select(user), user))
     return join_lookup(df, names, user, "user_rows", broadcast_rows).drop(user)

@@ -12,13 +12,15 @@ from dataclasses import dataclass, field
 
 import numpy as np
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer, VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import DenseVector, SparseVector, VectorUDT
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from textrisk.functions import fixed, text
+from textrisk.operators.lookups import join_lookup
 from textrisk.operators.quantiles import exact_quantiles, value_cell
+from textrisk.session import staged_folder
 
 
 def add_terms(
@@ -32,7 +34,18 @@ def add_terms(
 
 
 def term_counts(df: DataFrame, keys: Sequence[str], terms: str = "terms") -> DataFrame:
-    """One row per text and distinct term, with its count ``tf``: counted inside the row.
+    """One row per text and distinct term, with its count ``tf``."""
+    return one_per_term(count_terms(df, keys, terms), keys)
+
+
+def one_per_term(counted: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Texts without terms give no row. The outer form is used since Spark derives a filter on
+    the array from the inner one, which would count the terms a second time."""
+    return counted.select(*keys, F.inline_outer("counts")).where(F.col("term").isNotNull())
+
+
+def count_terms(df: DataFrame, keys: Sequence[str], terms: str = "terms") -> DataFrame:
+    """``keys`` and the array ``counts`` of each text's distinct terms with their count ``tf``.
 
     The terms are sorted within the row and cut into runs of equal terms, so the text's
     words never cross a shuffle to be counted. Neighbours are paired by shifting the
@@ -57,10 +70,9 @@ def term_counts(df: DataFrame, keys: Sequence[str], terms: str = "terms") -> Dat
         "_runs", ends,
         lambda run, end: F.struct(run["term"].alias("term"), (end - run["at"]).alias("tf")),
     )
-    return (
-        bounded.select(*keys, F.explode(counted).alias("_run"))
-        .where(F.col("_run.term").isNotNull())
-        .select(*keys, "_run.term", "_run.tf")
+    # a text without terms has an end but no run
+    return bounded.select(
+        *keys, F.filter(counted, lambda run: run["term"].isNotNull()).alias("counts")
     )
 
 
@@ -101,25 +113,21 @@ def _most_frequent(terms: DataFrame, count: int) -> DataFrame:
 
 
 def term_weights(
-    counts: DataFrame, terms: DataFrame, keys: Sequence[str], sublinear: bool = False
+    counted: DataFrame, terms: DataFrame, keys: Sequence[str], sublinear: bool = False
 ) -> DataFrame:
     """TF-IDF as rows ``keys, term, weight``, each text scaled to length 1.
 
-    A vocabulary limited by ``max_features`` has a known size and Spark broadcasts it when
-    small; a larger one is shuffled. The length of a text is a sum over its own terms only.
+    ``counted`` has one row per ``keys`` (``count_terms``), ``terms`` is a staged vocabulary.
+    The texts are partitioned by their keys before they become rows per term, and a vocabulary
+    of a checked size is broadcast, so the sum over a text's terms moves no row. A larger
+    vocabulary is shuffled, with its frequent terms in slices.
     """
     tf = F.log(F.col("tf").cast("double")) + 1.0 if sublinear else F.col("tf").cast("double")
-    raw = counts.join(terms.select("term", "idf"), "term").select(
-        *keys, F.struct("term", (tf * F.col("idf")).alias("raw")).alias("entry")
-    )
-    grouped = raw.groupBy(*keys).agg(F.collect_list("entry").alias("entries"))
-    squares = F.aggregate(
-        "entries", F.lit(0.0), lambda total, e: total + e["raw"] * e["raw"]
-    )
-    return (
-        grouped.withColumn("_length", F.sqrt(squares))
-        .select(*keys, "_length", F.inline("entries"))
-        .select(*keys, "term", (F.col("raw") / F.col("_length")).alias("weight"))
+    rows = one_per_term(counted.repartition(*keys), keys)
+    known = join_lookup(rows, terms.select("term", "idf", "df"), "term", "df")
+    length = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy(*keys)))
+    return known.select(*keys, "term", (tf * F.col("idf")).alias("raw")).select(
+        *keys, "term", (F.col("raw") / length).alias("weight")
     )
 
 
@@ -235,11 +243,25 @@ class FeatureModel:
         return assembled.drop("_text_vector", *numbers)
 
     def entries(self, df: DataFrame, keys: Sequence[str], vector: str = "features") -> DataFrame:
-        """The non-zero slots of a transformed frame by name: rows ``keys, name, value``."""
-        names = df.sparkSession.createDataFrame(
-            list(enumerate(self.names)), "slot int, name string"
+        """The non-zero slots of a transformed frame by name: rows ``keys, name, value``.
+
+        Staged, to read the vectors as their stored parts: sparse ones are never spread out.
+        """
+        spark = df.sparkSession
+        names = spark.createDataFrame(list(enumerate(self.names)), "slot int, name string")
+        path = staged_folder(spark)
+        kept = df.select(*keys, F.col(vector).alias("_vector"))
+        kept.write.parquet(path)
+        stored = StructType(
+            [*kept.drop("_vector").schema.fields, StructField("_vector", VectorUDT.sqlType())]
+        )
+        parts = spark.read.schema(stored).parquet(path).select(*keys, "_vector.*")
+        dense = F.sequence(F.lit(0), F.size("values") - 1)
+        slot = F.when(F.size("values") == 0, F.array().cast("array<int>")).otherwise(
+            F.coalesce("indices", dense)
         )
-        slots = df.select(*keys, F.posexplode(vector_to_array(vector)).alias("slot", "value"))
+        pairs = F.arrays_zip(slot.alias("slot"), F.col("values").alias("value"))
+        slots = parts.select(*keys, F.inline(pairs).alias("slot", "value"))
         # one name per slot of the vector
         return (
             slots.where(F.col("value") != 0)

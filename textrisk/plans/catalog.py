@@ -85,7 +85,7 @@ def message_view(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def file_counters(spark: SparkSession, folder: str) -> DataFrame:
-    return message_ops.file_counters(inputs.raw_messages(spark, folder))
+    return message_ops.file_counters(inputs.message_flags(spark, folder))
 
 
 @query
@@ -421,9 +421,13 @@ def learning_prefixes(spark: SparkSession, folder: str) -> DataFrame:
 # --- text vectors --------------------------------------------------------------------------------
 
 
-def _term_counts(spark: SparkSession, folder: str, ngram_range: tuple[int, int]) -> DataFrame:
+def _counted(spark: SparkSession, folder: str, ngram_range: tuple[int, int]) -> DataFrame:
     documents = inputs.clean_documents(spark, folder)
-    return textvec.term_counts(textvec.add_terms(documents, "text", ngram_range), ["doc_id"])
+    return textvec.count_terms(textvec.add_terms(documents, "text", ngram_range), ["doc_id"])
+
+
+def _term_counts(spark: SparkSession, folder: str, ngram_range: tuple[int, int]) -> DataFrame:
+    return textvec.one_per_term(_counted(spark, folder, ngram_range), ["doc_id"])
 
 
 def _vocabulary(counts: DataFrame, spark: SparkSession, folder: str, **limits) -> DataFrame:
@@ -455,9 +459,10 @@ def vocabulary_max_df(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _weights(spark: SparkSession, folder: str, sublinear: bool, **limits) -> DataFrame:
-    counts = staged(_term_counts(spark, folder, (1, 2)))
-    terms = _vocabulary(counts, spark, folder, **limits)
-    return rounded(textvec.term_weights(counts, terms, ["doc_id"], sublinear), ["weight"])
+    counted = staged(_counted(spark, folder, (1, 2)))
+    counts = textvec.one_per_term(counted, ["doc_id"])
+    terms = staged(_vocabulary(counts, spark, folder, **limits))
+    return rounded(textvec.term_weights(counted, terms, ["doc_id"], sublinear), ["weight"])
 
 
 @query
@@ -666,7 +671,7 @@ def scored_messages(spark: SparkSession, folder: str) -> DataFrame:
     """All messages scored by a model trained on the labelled documents."""
     train, _ = _train_test(spark, folder)
     fitted = SMALL_MODELS["Logistic Regression"].fit(train)
-    named = message_ops.pseudonymize(staged(inputs.messages(spark, folder)))
+    named = message_ops.pseudonymize(inputs.messages(spark, folder))
     featured = risk.add_features(named, "text", inputs.TABLE_LEXICON)
     return rounded(models.score_messages(fitted, featured), ["toxicity_score"])
 

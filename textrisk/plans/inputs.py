@@ -68,6 +68,16 @@ def raw_messages(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def message_flags(spark: SparkSession, folder: str) -> DataFrame:
+    """File and type of each message and whether its text is visible, told before the join: no
+    text is shuffled."""
+    documents = texts(spark, folder, "documents").select(
+        "doc_id", F.concat("source", F.lit(".json")).alias("file"), text.has_text("text").alias("visible")
+    )
+    events = message_events(spark, folder).select("doc_id", "type")
+    return documents.join(events, "doc_id").select("file", "type", "visible")
+
+
 def messages(spark: SparkSession, folder: str) -> DataFrame:
     return clean_messages(raw_messages(spark, folder))
 
