@@ -6,6 +6,8 @@ A raw message has the columns ``file, id, type, date, date_unixtime, from_id, te
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,10 +36,11 @@ def raw_user(from_id: Column | str = "from_id") -> Column:
     return F.when(F.length(given) > 0, given).otherwise(fixed.UNKNOWN_USER)
 
 
-def clean_messages(raw: DataFrame) -> DataFrame:
+def clean_messages(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Filter, mask, hash and date the messages: one pass, no shuffle.
 
-    Output: ``message_hash, date, date_unixtime, hour, month, chat, raw_user_id, text``.
+    Output: ``message_hash, date, date_unixtime, hour, month, chat, raw_user_id, text``, and
+    ``file`` or ``id`` if in ``keep``.
     """
     kept = drop_blank(keep_ordinary(raw)).select(
         "file",
@@ -56,6 +59,7 @@ def clean_messages(raw: DataFrame) -> DataFrame:
         text.file_stem("file").alias("chat"),
         "raw_user_id",
         "text",
+        *keep,
     )
 
 

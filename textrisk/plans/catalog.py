@@ -24,6 +24,7 @@ from textrisk.operators import (
 )
 from textrisk.operators.quantiles import exact_quantiles
 from textrisk.plans import inputs
+from textrisk.plans.labeling import draw_messages
 from textrisk.session import shared_folder, staged
 from textrisk.sources import exports, samples
 
@@ -377,12 +378,9 @@ def labeling_sample_default(spark: SparkSession, folder: str) -> DataFrame:
 def sample_file(spark: SparkSession, folder: str) -> DataFrame:
     """A labelling sample of named messages, written as CSV and read back with all columns."""
     path = f"{shared_folder(spark)}/sample-{uuid.uuid4().hex}"
-    clean = inputs.messages(spark, folder)
-    featured = staged(risk.add_features(clean, "text", inputs.TABLE_LEXICON))
-    names = message_ops.pseudonyms(featured.select("raw_user_id"))
-    sample = sampling.labeling_sample(featured, 200, SEED, F.col("risk_score") > 1)
-    named = lookups.join_lookup(sample, names, "raw_user_id", "user_rows")
-    samples.write_sample(named.select(*fixed.SAMPLE_COLUMNS), path)
+    raw = inputs.raw_messages(spark, folder)
+    sample, _ = draw_messages(raw, 200, SEED, inputs.TABLE_LEXICON, F.col("risk_score") > 1)
+    samples.write_sample(sample.select(*fixed.SAMPLE_COLUMNS), path)
     return rounded(samples.read_sample(spark, path), ["risk_score", "caps_ratio"])
 
 

@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from textrisk.functions import fixed
 from textrisk.functions.risk import Lexicon, add_features
 from textrisk.operators.labels import weak_labels
-from textrisk.operators.lookups import join_lookup
+from textrisk.operators.lookups import BROADCAST_ROWS, join_lookup
 from textrisk.operators.messages import clean_messages, file_counters, pseudonyms
 from textrisk.operators.sampling import labeling_sample
 from textrisk.session import spread_small, staged
@@ -22,6 +23,34 @@ def message_table(raw: DataFrame, lexicon: Lexicon = Lexicon(), count_shouted: b
     return staged(add_features(clean_messages(raw), "text", lexicon, count_shouted))
 
 
+def draw_messages(
+    raw: DataFrame,
+    size: int,
+    seed: int = fixed.DEFAULT_SEED,
+    lexicon: Lexicon = Lexicon(),
+    candidate: Column | None = None,
+    count_shouted: bool = False,
+) -> tuple[DataFrame, DataFrame]:
+    """The labelling sample of raw messages with its users named, and the names of all users.
+
+    Hashes and numbers of all messages are staged, their texts are not: those of the drawn
+    messages are read again and masked.
+    """
+    clean = clean_messages(raw, keep=("file", "id"))
+    numbers = staged(add_features(clean, "text", lexicon, count_shouted).drop("text"))
+    names = staged(pseudonyms(numbers.select("raw_user_id")))
+    drawn = staged(labeling_sample(numbers, size, seed, candidate))
+    ids = drawn.select(F.col("file").alias("_file"), F.col("id").alias("_id")).distinct()
+    if size <= BROADCAST_ROWS:  # the sample has at most ``size`` rows
+        ids = F.broadcast(ids)
+    same = F.col("file").eqNullSafe(F.col("_file")) & F.col("id").eqNullSafe(F.col("_id"))
+    again = clean_messages(raw.join(ids, same, "left_semi")).select("message_hash", "text")
+    # copies of a message have one hash and one text
+    texts = again.dropDuplicates(["message_hash"])
+    named = join_lookup(drawn.drop("file", "id"), names, "raw_user_id", "user_rows")
+    return named.join(texts, "message_hash"), names
+
+
 def prepare_sample(
     spark: SparkSession,
     paths: str | Sequence[str],
@@ -41,11 +70,8 @@ def prepare_sample(
     raw = read_chat_exports(spark, paths, spread)
     if spread is None:
         raw = spread_small(raw, "file", "id", "date")
-    messages = message_table(raw, lexicon, count_shouted=True)
-    names = pseudonyms(messages.select("raw_user_id"))
-    sample = labeling_sample(messages, size, seed, candidate)
-    named = join_lookup(sample, names, "raw_user_id", "user_rows")
-    write_sample(named.select(*fixed.SAMPLE_COLUMNS), sample_path, rounded=True)
+    sample, names = draw_messages(raw, size, seed, lexicon, candidate, count_shouted=True)
+    write_sample(sample.select(*fixed.SAMPLE_COLUMNS), sample_path, rounded=True)
     written = read_sample(spark, sample_path)
     write_summary(file_counters(raw), names.count(), written.count(), sample_path, summary_path)
     return written
