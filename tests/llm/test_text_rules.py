@@ -191,6 +191,25 @@ def test_parse(source, expected):
     assert blocks(source) == expected
 
 
+@pytest.mark.parametrize(
+    "source, expected",
+    [
+        ("<html><head><title>t</title><meta charset=u><body><p>a</body>", ["a"]),
+        ("<head><script>x</script><p>a</p></head><p>b", ["a", "b"]), ("<head>\n<link href=x>a", ["a"]),
+        ("<head><a href=x>a</a><body>b", ["a", "b"]), ("<body><head><title>t</title><p>a", ["a"]),
+        ("<head><title>t</title></head><body>a", ["a"]),
+        ("<p>a<svg viewBox='0 0 1 1'/>b<p>c<svg><text>no</text></svg>d", ["ab", "cd"]),
+        ("<p>a<svg class=\"x>y\"><title>no</title></svg >b", ["ab"]), ("<p>a<svg><path d=x>b<p>c", ["a", "b", "c"]),
+        ("<svg-icon name=x></svg-icon><p>a", ["a"]), ("<template-x>a</template-x><p>b", ["a", "b"]),
+        ("<style-guide/><p>a<title-bar>b</title-bar>", ["a", "b"]), ("<script>x</script foo>a", ["a"]),
+        ("<p>if <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation encoding=t>no</annotation></math> then", ["if x=2 then"]),
+        ("<p>a <object data=x><param name=y>b</object> <canvas>c</canvas> d", ["a b c d"]),
+    ],
+)
+def test_parse_keeps_text_after_open_heads_and_embedded_things(source, expected):
+    assert blocks(source) == expected
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.lists(st.sampled_from(
     ["<p>", "</p>", "<div class='ad'>", "</div>", "<b>", "<li>", "<ul>", "</ul>", "<td>", "<script>", "</script>",

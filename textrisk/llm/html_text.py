@@ -34,9 +34,16 @@ TRAINING_PAGES = 2000
 _VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 _INLINE = set(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q rp rt ruby s samp "
-    "small span strike strong sub sup time tt u var img br wbr".split()
+    "small span strike strong sub sup time tt u var img br wbr "
+    # Formulas and embedded things stand in a line; what is between their tags is its text.
+    "object param canvas math mi mn mo ms mtext mrow mfrac msqrt mroot mstyle merror mpadded mphantom msub "
+    "msup msubsup munder mover munderover mmultiscripts mprescripts mspace mtable mtr mtd semantics".split()
+)
+_UNSEEN = set("script style template noscript iframe head title".split())
+# What may stand in a head; anything else ends a head left open.
+_HEAD_CONTENT = set(
+    "head base link meta title style script noscript template basefont bgsound noframes".split()
 )
-_UNSEEN = set("script style template noscript iframe svg math object canvas head title".split())
 _CLOSES_P = set(
     "address article aside blockquote center details dialog dir div dl fieldset figcaption figure "
     "footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section summary table "
@@ -65,12 +72,19 @@ _FURNITURE_WORDS = set(
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<raw>script|style|template|noscript|iframe|svg|title)\b[^>]*+>.*?(?:</(?P=raw)\s*+>|\Z)"
+    r"|<(?P<raw>script|style|template|noscript|iframe|title)(?=[\s/>])[^>]*+>"
+    r".*?(?:</(?P=raw)(?=[\s/>])[^>]*+(?:>|\Z)|\Z)"
     r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/<>]*+)(?P<attrs>(?:[^<>\"']++|\"[^\"<]*+\"|'[^'<]*+')*+|[^<>]*+)>"
     r"|<[!?][^<>]*+>"
     r"|<[!?/a-zA-Z][^<>]*+\Z",
     re.DOTALL | re.IGNORECASE,
 )
+# Not seen up to their end tag; without one, or closed at once, only the tag itself is skipped.
+_ISLANDS = {
+    name: re.compile(rf"</{name}(?=[\s/>])[^>]*+>", re.IGNORECASE)
+    for name in ("svg", "annotation", "annotation-xml")
+}
+_BLANKS = " \t\n\r\f"
 _NAMES = re.compile(
     r"(?:class|id|role|itemprop)\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s\"'>]++))", re.IGNORECASE
 )
@@ -137,7 +151,13 @@ class _Builder:
             column.append(value)
         return number
 
+    def _close_head(self) -> None:
+        if self.open and self.open[-1][0] == "head":
+            self.close(1)
+
     def words(self, raw: str) -> None:
+        if self.unseen and raw.strip(_BLANKS):
+            self._close_head()
         if self.unseen:
             return
         text = html.unescape(raw) if "&" in raw else raw
@@ -171,6 +191,10 @@ class _Builder:
                 return
 
     def start(self, tag: str, attrs: str) -> None:
+        if tag not in _HEAD_CONTENT:
+            self._close_head()
+        elif tag == "head" and any(name != "html" for name, _ in self.open):
+            return
         if tag in _INLINE:
             self.marks += 1
             if tag == "a":
@@ -209,16 +233,24 @@ def parse_page(source: str | None) -> Page:
     builder = _Builder()
     at = 0
     source = source or ""
-    for token in _TOKEN.finditer(source):
+    unended = set()
+    while token := _TOKEN.search(source, at):
         if token.start() > at:
             builder.words(source[at : token.start()])
         at = token.end()
-        tag = token["tag"]
-        if tag:
+        tag = (token["tag"] or "").lower()
+        if tag in _ISLANDS:
+            if token["end"] or token["attrs"].endswith("/") or tag in unended:
+                continue
+            if end := _ISLANDS[tag].search(source, at):
+                at = end.end()
+            else:
+                unended.add(tag)
+        elif tag:
             if token["end"]:
-                builder.finish(tag.lower())
+                builder.finish(tag)
             else:
-                builder.start(tag.lower(), token["attrs"])
+                builder.start(tag, token["attrs"])
     if at < len(source):
         builder.words(source[at:])
     builder.close(len(builder.open))
