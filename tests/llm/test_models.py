@@ -72,6 +72,24 @@ def test_language_of_odd_rows(spark):
     assert {(r.lang_pred, r.score) for r in unknown} == {("und", 0.0)}
 
 
+def test_very_long_texts_teach_their_language(spark):
+    rows = [(1, "der hund und die katze " * 120_000, "de", 1.0, "x"), (2, "the cat and the dog", "en", 1.0, "x")]
+    assert sum(map(str.isalpha, rows[0][1])) > 2_000_000
+    frame = spark.createDataFrame(rows, DOCUMENTS)
+    profiles = language.fit_profiles(frame, 1024)
+    assert profiles.languages == ("de", "en")
+    assert np.linalg.norm(profiles.prototypes, axis=1) == pytest.approx([1, 1])
+    asked = spark.createDataFrame([(3, "die katze", None, None, None), (4, "the dog", None, None, None)], DOCUMENTS)
+    found = language.predict_language(asked, profiles, [F.col("doc_id")]).collect()
+    assert {r.doc_id: r.lang_pred for r in found} == {3: "de", 4: "en"}
+    # A long and a short text count the same.
+    mixed = spark.createDataFrame([(1, "abc " * 200_000, "x", 1.0, "x"), (2, "xyz", "x", 1.0, "x")], DOCUMENTS)
+    one = language.fit_profiles(mixed, 1024).prototypes[0]
+    vectors = language.document_vectors(["abc", "xyz"], 1024)
+    equal = vectors.sum(axis=0) / np.linalg.norm(vectors.sum(axis=0))
+    assert one == pytest.approx(equal, abs=1e-3)
+
+
 def test_profiles_do_not_depend_on_partitions(spark):
     frame = spark.read.parquet(f"{FOLDER}/documents.parquet")
     one = language.fit_profiles(frame.coalesce(1), 128)

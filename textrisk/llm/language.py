@@ -25,9 +25,11 @@ DIMENSIONS = 1024
 UNKNOWN = "und"
 MOST_LANGUAGES = 1000
 
-# A document's trigram weights add up to this in a prototype; whole numbers add up to the
-# same sum in any order.
-_DOCUMENT_WEIGHT = 1 << 20
+# A document's trigram weights add up to this in a prototype, less a remainder below its number
+# of letters; whole numbers add up to the same sum in any order. A text has fewer than 2^31
+# letters, so its weight is never 0. Up to two million texts of a slice stay below 2^53, and two
+# billion rows of a language below 2^63.
+_DOCUMENT_WEIGHT = 1 << 32
 # Trigrams turned into vectors at once, and cells of a count matrix.
 _TRIGRAM_BLOCK = 2048
 _MATRIX_CELLS = 1 << 20
