@@ -96,6 +96,18 @@ def test_nulls_empty_repeated_and_extra_columns(spark):
     assert got == sorted(brute_components([r[:2] for r in rows], 3, 90), key=str)
 
 
+@pytest.mark.parametrize("turned", [False, True])
+def test_texts_of_one_id_link_each_for_itself(spark, turned):
+    one, other = (" ".join(f"{c}{i}" for i in range(200)) for c in "xy")
+    rows = [(10, one, "p", "s"), (10, other, "p", "s"), (11, one + " end", "p", "s"), (12, other + " end", "p", "s"),
+            (9, "apart from all of these", "p", "s")]
+    rows = rows[::-1] if turned else rows
+    found = similar_components(spark.createDataFrame(rows, SCHEMA).coalesce(1))
+    got = sorted((r.doc_id, r.n_shingles, r.component_id) for r in found.collect())
+    assert got == sorted(brute_components([r[:2] for r in rows], 3, 90))
+    assert [(doc_id, component) for doc_id, _, component in got] == [(9, 9), (10, 10), (10, 10), (11, 10), (12, 10)]
+
+
 def test_empty_table(spark):
     found = similar_components(spark.createDataFrame([], SCHEMA))
     assert found.columns == ["doc_id", "n_shingles", "set_id", "component_id"] and found.count() == 0

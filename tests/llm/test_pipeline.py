@@ -87,3 +87,12 @@ def test_stages_on_odd_documents(spark):
     for _, stage in corpus_pipeline.STAGES:
         empty = corpus_pipeline.staged(stage(spark, empty, FOLDER))
     assert empty.count() == 0
+
+
+def test_near_copies_of_an_id_with_several_texts(spark):
+    one, other, third = (" ".join(f"{c}{i}" for i in range(200)) for c in "xyz")
+    rows = [(1, one), (10, one + " end"), (10, other), (11, other + " end"), (12, third), (12, third + " end"), (12, third)]
+    docs = spark.createDataFrame([(i, text, "en", "s", len(text)) for i, text in rows], DOCUMENTS)
+    kept = [(r.doc_id, r.text) for r in corpus_pipeline.drop_near_copies(spark, docs, FOLDER).collect()]
+    assert sorted(doc_id for doc_id, _ in kept) == [1, 10, 12]
+    assert (1, one) in kept and (10, other) in kept

@@ -28,7 +28,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from textrisk.llm.components import connected
@@ -151,8 +151,11 @@ def _set_rows(batches, grams: int):
             sizes.append(len(one))
             ids.append(set_hash(one) if len(one) else None)
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(sizes, pa.int64()), pa.array(ids, pa.int64())],
-            names=["doc_id", "n_shingles", "set_id"],
+            [
+                batch.column(0), batch.column(2), pa.array(sizes, pa.int64()),
+                pa.array(ids, pa.int64()),
+            ],
+            names=["doc_id", "text_key", "n_shingles", "set_id"],
         )
 
 
@@ -317,14 +320,15 @@ def tree_links(sets: list[np.ndarray], threshold: Threshold) -> list[tuple[int,
 
 
 def _task_links(rows: pd.DataFrame, grams: int, threshold: Threshold) -> pd.DataFrame:
-    rows = rows.drop_duplicates(["tie", "set_id"])
+    rows = rows.drop_duplicates(["tie", "set_id", "text"])
     sets = gram_sets(pa.array(rows["text"], pa.large_string()), grams)
-    by_tie: dict[int, list] = {}
+    by_tie: dict[int, dict] = {}
     for tie, set_id, one in zip(rows["tie"], rows["set_id"], sets):
-        if set_hash(one) == set_id:  # a doc_id may stand for several texts
-            by_tie.setdefault(tie, []).append((set_id, one))
+        if set_hash(one) == set_id:  # a key may stand for several texts
+            by_tie.setdefault(tie, {})[set_id] = one
     found = []
-    for members in by_tie.values():
+    for own in by_tie.values():
+        members = list(own.items())
         for left, right in tree_links([one for _, one in members], threshold):
             found.append((members[left][0], members[right][0]))
     return pd.DataFrame(found, columns=["a", "b"]).astype("int64")
@@ -345,17 +349,48 @@ def similar_components(
     the texts are similar. A row without ``doc_id`` takes part in no link; its component is
     null. Further columns are ignored.
     """
+    return marked_components(documents, grams, threshold, block_grams).select(
+        "doc_id", "n_shingles", "set_id", "component_id"
+    )
+
+
+def text_key(text: Column) -> Column:
+    """Tells the texts of one ``doc_id`` apart."""
+    return F.xxhash64(text.cast("string"))
+
+
+def marked_components(
+    documents: DataFrame,
+    grams: int = 3,
+    threshold: Threshold = Threshold(),
+    block_grams: int = BLOCK_GRAMS,
+) -> DataFrame:
+    """``similar_components`` with the ``text_key`` of each row, and with ``stands``: whether the
+    row's ``doc_id`` and text are the one text that stands for its component. Rows in no
+    component of others stand for themselves."""
     small_batches(documents.sparkSession)
-    rows = documents.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
+    rows = documents.select(
+        F.col("doc_id").cast("bigint"), F.col("text").cast("string"),
+        text_key(F.col("text")).alias("text_key"),
+    )
     sets = staged(
         rows.mapInArrow(
-            lambda batches: _set_rows(batches, grams), "doc_id bigint, n_shingles bigint, set_id bigint"
+            lambda batches: _set_rows(batches, grams),
+            "doc_id bigint, text_key bigint, n_shingles bigint, set_id bigint",
         )
     )
+    # A class is read from the one text that stands for it, whatever other texts its id has.
     classes = staged(
         sets.where("doc_id is not null and set_id is not null")
         .groupBy("set_id")
-        .agg(F.min("doc_id").alias("class_doc"), F.max("n_shingles").alias("grams"))
+        .agg(
+            F.min(F.struct("doc_id", "text_key")).alias("first"),
+            F.max("n_shingles").alias("grams"),
+        )
+        .select(
+            "set_id", F.col("first.doc_id").alias("class_doc"),
+            F.col("first.text_key").alias("class_text"), "grams",
+        )
     )
     texts = rows.where("doc_id is not null").select("text")
     common = _common_grams(texts, grams, classes.count())
@@ -375,7 +410,8 @@ def similar_components(
     )
     tasks, bins = _deal(tied, block_grams)
     # The tasks grow with the documents, so neither side is broadcast at any size.
-    members = rows.hint("merge").join(tasks.withColumnRenamed("class_doc", "doc_id"), "doc_id")
+    dealt = tasks.withColumnsRenamed({"class_doc": "doc_id", "class_text": "text_key"})
+    members = rows.hint("merge").join(dealt, ["doc_id", "text_key"]).drop("text_key")
     links = staged(
         members.repartition(bins, "task", "left_block", "right_block")
         .groupBy("task", "left_block", "right_block")
@@ -384,17 +420,25 @@ def similar_components(
     )
     linked = connected(links, "a", "b").withColumnRenamed("id", "set_id")
     grouped = classes.join(linked, "set_id", "left").select(
-        "set_id", "class_doc", F.coalesce("label", "set_id").alias("label")
+        "set_id", "class_doc", "class_text", F.coalesce("label", "set_id").alias("label")
+    )
+    firsts = grouped.groupBy("label").agg(
+        F.min(F.struct("class_doc", "class_text")).alias("first")
     )
-    firsts = grouped.groupBy("label").agg(F.min("class_doc").alias("component_id"))
-    component = grouped.join(firsts, "label").select("set_id", "component_id")
+    component = grouped.join(firsts, "label").select("set_id", "first")
     return (
         sets.join(component, "set_id", "left")
         .select(
-            "doc_id", "n_shingles", "set_id",
+            "doc_id", "text_key", "n_shingles", "set_id",
             F.when(F.col("set_id").isNull(), F.col("doc_id"))
-            .when(F.col("doc_id").isNotNull(), F.col("component_id"))
+            .when(F.col("doc_id").isNotNull(), F.col("first.class_doc"))
             .alias("component_id"),
+            F.coalesce(
+                F.col("first") == F.struct(
+                    F.col("doc_id").alias("class_doc"), F.col("text_key").alias("class_text")
+                ),
+                F.lit(True),
+            ).alias("stands"),
         )
     )
 
@@ -416,7 +460,7 @@ def _deal(tied: DataFrame, block_grams: int) -> tuple[DataFrame, int]:
     )
     spread = cut.withColumn("partner", partner)
     dealt = spread.select(
-        "set_id", "class_doc", "tie",
+        "set_id", "class_doc", "class_text", "tie",
         F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("tie"), F.lit(bins)))
         .otherwise(F.col("tie")).alias("task"),
         F.when(F.col("blocks") == 1, F.lit(-1)).otherwise(F.least("own", "partner")).alias("left_block"),
