@@ -116,6 +116,23 @@ def test_terms_equal_brute_force(spark):
     assert clean[3] == rows[3][1]
 
 
+def test_revealing_words_go_wherever_they_stand(spark):
+    rows = revealing_rows()
+    far = " ".join(["filler"] * 20)
+    rows[0] = (0, f"{rows[0][1]} {far} ZEBULON and zebulon, zebulons")
+    rows += [(400, f"🙂 no address, Zebulon {far} zebulon"), (401, "zebu lon")]
+    limits = privacy.Disclosure(support=3, share=0.4, bits=3.0, surroundings=40)
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    found = {r.doc_id: r for r in privacy.find_personal_data(frame, limits).collect()}
+    for doc_id, text in rows:
+        places = [(s, e) for word, s, e in plain_words(text) if word == "zebulon"]
+        assert [(s.start, s.end) for s in found[doc_id].terms if s.value == "zebulon"] == places
+    assert len(found[0].terms) >= 3 and len(found[400].terms) == 2
+    clean = {r.doc_id: r.text for r in privacy.sanitise(frame, limits).collect()}
+    assert clean[400] == rows[-2][1].replace("Zebulon", "[TERM]").replace("zebulon", "[TERM]")
+    assert "zebulons" in clean[0] and clean[401] == "zebu lon"
+
+
 CHARACTERS = st.sampled_from(list("ab1 2.3@-+()45é🙂_%\n"))
 HEAVY = st.lists(
     st.one_of(

@@ -10,8 +10,10 @@ corpus says how strongly:
 * information: the logarithm of how much more often the word stands near the entity than its
   share of all documents would have it.
 
-Words that exceed all three thresholds are personal data too, wherever they stand near that
-entity. All spans count code points, ends exclusive.
+Evidence is counted per window: what stands further from an entity than its surroundings says
+nothing about it. Words that exceed all three thresholds are personal data too, at each of their
+places in any document, also far from the entity or without it. All spans
+count code points, ends exclusive.
 """
 
 from __future__ import annotations
@@ -21,6 +23,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from textrisk.operators.lookups import BROADCAST_ROWS
 from textrisk.session import staged
 
 KINDS = ("email", "ip", "card", "phone")
@@ -155,8 +158,21 @@ def _entity_rows(rows: DataFrame, reach: int) -> DataFrame:
     return near.withColumn("surroundings", F.xxhash64(F.col("near.word")))
 
 
-def _revealing(near: DataFrame, documents: DataFrame, limits: Disclosure) -> DataFrame:
-    """Pairs of ``entity`` and ``word`` that exceed all thresholds."""
+def _sized(frame: DataFrame) -> DataFrame:
+    """For a join: broadcast up to a counted size; beyond it both sides are shuffled."""
+    small = frame.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    return F.broadcast(frame) if small else frame.hint("merge")
+
+
+def _words(rows: DataFrame) -> DataFrame:
+    """``row_key`` and the different ``words`` of each row, in lower case."""
+    found = F.array_distinct(F.regexp_extract_all("text", F.lit(_WORD), F.lit(0)))
+    return rows.select("row_key", F.array_distinct(F.transform(found, F.lower)).alias("words"))
+
+
+def _revealing(near: DataFrame, words: DataFrame, total: int, limits: Disclosure) -> DataFrame:
+    """Pairs of ``entity`` and ``word`` that exceed all thresholds; ``words`` are those of all
+    ``total`` rows."""
     met = near.select(
         "entity", "surroundings", "row_key", F.explode(F.array_distinct("near.word")).alias("word")
     )
@@ -169,14 +185,10 @@ def _revealing(near: DataFrame, documents: DataFrame, limits: Disclosure) -> Dat
     rows = met.select("entity", "word", "row_key").distinct().groupBy("entity", "word").agg(
         F.count(F.lit(1)).alias("rows")
     )
-    # Documents with each word, over the whole corpus; equal rows count once.
-    words = F.array_distinct(
-        F.regexp_extract_all(F.lower("text"), F.lit(_WORD), F.lit(0))
-    )
-    spread = documents.select(F.explode(words).alias("word")).groupBy("word").agg(
+    # Documents with each word, over the whole corpus.
+    spread = words.select(F.explode("words").alias("word")).groupBy("word").agg(
         F.count(F.lit(1)).alias("documents")
     )
-    total = documents.count()
     measured = (
         pairs.join(rows, ["entity", "word"]).join(settings, "entity").join(spread, "word")
     )
@@ -191,20 +203,44 @@ def _row_key(documents: DataFrame) -> Column:
     return F.xxhash64(documents["doc_id"].cast("string"), documents["text"])
 
 
-def _term_spans(near: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Per ``row_key`` the revealing words as spans."""
-    words = near.select("row_key", "entity", F.explode("near").alias("near"))
-    chosen = words.select("row_key", "entity", "near.word", "near.start", "near.end").join(
-        pairs, ["entity", "word"]
+def _places(text: Column, words: Column) -> Column:
+    """The places of ``words`` in a text, as spans; other words only move the place on."""
+    pieces = F.zip_with(
+        F.split(text, _WORD, -1),
+        F.regexp_extract_all(text, F.lit(_WORD), F.lit(0)),
+        lambda gap, match: F.struct(
+            F.length(gap).alias("gap"), F.length(match).alias("length"), F.lower(match).alias("word")
+        ),
+    )
+    empty = F.struct(F.lit(0).alias("at"), F.array().cast(_SPANS).alias("out"))
+
+    def step(state: Column, piece: Column) -> Column:
+        start = state["at"] + piece["gap"]
+        end = start + piece["length"]
+        entry = F.struct(
+            F.lit(TERM).alias("kind"), start.alias("start"), end.alias("end"), piece["word"].alias("value")
+        )
+        out = F.when(
+            F.array_contains(words, piece["word"]), F.concat(state["out"], F.array(entry))
+        ).otherwise(state["out"])
+        return F.struct(end.alias("at"), out.alias("out"))
+
+    return F.aggregate(pieces, empty, step, lambda state: state["out"])
+
+
+def _term_spans(rows: DataFrame, words: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Per ``row_key`` the places of the revealing words, whichever entity they reveal."""
+    chosen = staged(pairs.select("word").distinct())
+    met = staged(
+        words.select("row_key", F.explode("words").alias("word"))
+        .join(_sized(chosen), "word")
+        .groupBy("row_key")
+        .agg(F.collect_set("word").alias("met"))
     )
-    return chosen.groupBy("row_key").agg(
-        F.sort_array(
-            F.collect_set(
-                F.struct(
-                    F.lit(TERM).alias("kind"), "start", "end", F.col("word").alias("value")
-                )
-            )
-        ).alias("terms")
+    return (
+        rows.join(_sized(met), "row_key")
+        .select("row_key", _places(F.col("text"), F.col("met")).alias("terms"))
+        .dropDuplicates(["row_key"])
     )
 
 
@@ -221,7 +257,10 @@ def find_personal_data(documents: DataFrame, limits: Disclosure = Disclosure())
         rows.select("doc_id", "row_key", "base", F.when(F.size("base") > 0, F.col("text")).alias("text"))
     )
     near = staged(_entity_rows(found, limits.surroundings))
-    terms = _term_spans(near, _revealing(near, rows.select("text"), limits))
+    total = found.count()
+    texts = rows.select("row_key", "text")
+    words = _words(texts)
+    terms = _term_spans(texts, words, _revealing(near, words, total, limits))
     none = F.array().cast(_SPANS)
     return found.drop("text").join(terms, "row_key", "left").withColumn(
         "terms", F.coalesce(F.col("terms").cast(_SPANS), none)
