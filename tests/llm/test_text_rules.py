@@ -133,6 +133,22 @@ def test_revealing_words_go_wherever_they_stand(spark):
     assert "zebulons" in clean[0] and clean[401] == "zebu lon"
 
 
+def test_repeated_rows_count_once(spark):
+    rows = revealing_rows()
+    limits = privacy.Disclosure(support=3, share=0.4, bits=3.0, surroundings=40)
+    # All rows three times; one that merely has a revealing word many times more.
+    hot = (500, "zebulon is only named here")
+    terms = plain_terms([*rows, hot], limits)
+    frame = spark.createDataFrame(rows * 3 + [hot] * 60, "doc_id bigint, text string").repartition(4)
+    found = privacy.find_personal_data(frame, limits).collect()
+    assert len(found) == 3 * len(rows) + 60
+    for row in found:
+        if row.doc_id != 500:
+            assert {(s.start, s.end, s.value) for s in row.terms} == terms.get(row.doc_id, set())
+    assert {s.value for r in found for s in r.terms} >= {"zebulon", "quentin"}
+    assert privacy.sanitise(frame, limits).count() == len(found)
+
+
 CHARACTERS = st.sampled_from(list("ab1 2.3@-+()45é🙂_%\n"))
 HEAVY = st.lists(
     st.one_of(

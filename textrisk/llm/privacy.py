@@ -12,7 +12,7 @@ corpus says how strongly:
 
 Evidence is counted per window: what stands further from an entity than its surroundings says
 nothing about it. Words that exceed all three thresholds are personal data too, at each of their
-places in any document, also far from the entity or without it. All spans
+places in any document, also far from the entity or without it. Equal rows count once. All spans
 count code points, ends exclusive.
 """
 
@@ -164,15 +164,22 @@ def _sized(frame: DataFrame) -> DataFrame:
     return F.broadcast(frame) if small else frame.hint("merge")
 
 
-def _words(rows: DataFrame) -> DataFrame:
-    """``row_key`` and the different ``words`` of each row, in lower case."""
+def _words(rows: DataFrame, repeated: DataFrame) -> DataFrame:
+    """``row_key`` and the different ``words`` of each row, in lower case; equal rows once.
+
+    Only rows of the staged keys in ``repeated`` are moved."""
     found = F.array_distinct(F.regexp_extract_all("text", F.lit(_WORD), F.lit(0)))
-    return rows.select("row_key", F.array_distinct(F.transform(found, F.lower)).alias("words"))
+    words = F.array_distinct(F.transform(found, F.lower)).alias("words")
+    if repeated.isEmpty():
+        return rows.select("row_key", words)
+    marked = rows.join(_sized(repeated.withColumn("again", F.lit(True))), "row_key", "left")
+    again = marked.where("again").select("row_key", words).dropDuplicates(["row_key"])
+    return marked.where("again is null").select("row_key", words).unionByName(again)
 
 
 def _revealing(near: DataFrame, words: DataFrame, total: int, limits: Disclosure) -> DataFrame:
     """Pairs of ``entity`` and ``word`` that exceed all thresholds; ``words`` are those of all
-    ``total`` rows."""
+    ``total`` different rows."""
     met = near.select(
         "entity", "surroundings", "row_key", F.explode(F.array_distinct("near.word")).alias("word")
     )
@@ -257,9 +264,11 @@ def find_personal_data(documents: DataFrame, limits: Disclosure = Disclosure())
         rows.select("doc_id", "row_key", "base", F.when(F.size("base") > 0, F.col("text")).alias("text"))
     )
     near = staged(_entity_rows(found, limits.surroundings))
-    total = found.count()
+    keys = found.groupBy("row_key").agg(F.count(F.lit(1)).alias("times"))
+    total = keys.count()
+    repeated = staged(keys.where("times > 1").select("row_key"))
     texts = rows.select("row_key", "text")
-    words = _words(texts)
+    words = _words(texts, repeated)
     terms = _term_spans(texts, words, _revealing(near, words, total, limits))
     none = F.array().cast(_SPANS)
     return found.drop("text").join(terms, "row_key", "left").withColumn(
