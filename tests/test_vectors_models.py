@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from textrisk.functions.risk import Lexicon, add_features
 from textrisk.operators import models, textvec
 from textrisk.operators.sampling import holdout_split
+from textrisk.plans import catalog, training as plan
 
 WORDS = "tea cup milk rain road tree bird stone river cloud".split()
 BAD = ["idiot", "moron"]
@@ -162,3 +163,29 @@ def test_settings_are_seeded_and_in_range():
     drawn = models.draw_settings(50, 7)
     assert drawn == models.draw_settings(50, 7) != models.draw_settings(50, 8)
     assert all(2 <= s["depth"] <= 6 and 0.65 <= s["row_share"] <= 1 for s in drawn)
+
+
+def test_model_queries_have_the_full_settings(monkeypatch):
+    called = {}
+
+    def note(name, result=None):
+        def call(_, spec, *more, **named):
+            called[name] = (spec, more, named)
+            return result
+
+        monkeypatch.setattr(catalog.models, name, call)
+
+    monkeypatch.setattr(catalog, "_train_test", lambda *_: (None, None))
+    monkeypatch.setattr(catalog, "staged", lambda frame: frame)
+    note("size_sweep"), note("random_search", (None, None)), note("learning_curve")
+    for name in ("size_sweep", "random_search", "learning_curve"):
+        catalog.QUERIES[name](None, "")
+    full, ids = models.BoostedSpec(), ["doc_id"]
+    sweep = models.BoostedSpec(rounds=plan.SWEEP_ROUNDS)
+    assert called["size_sweep"] == (sweep, (plan.SIZES, ids), {})
+    assert called["random_search"] == (full, (models.draw_settings(plan.TRIALS, catalog.SEED), ids), {})
+    assert called["learning_curve"] == (full, (plan.FRACTIONS, ids), {})
+    assert catalog.BOOSTED == full
+    for name, spec in models.DEFAULT_MODELS.items():
+        own = catalog.TABLE_MODELS[name]
+        assert (replace(own, id_columns=spec.id_columns) if hasattr(spec, "id_columns") else own) == spec

@@ -23,7 +23,7 @@ from textrisk.operators import (
     trends,
 )
 from textrisk.operators.quantiles import exact_quantiles
-from textrisk.plans import inputs
+from textrisk.plans import inputs, training
 from textrisk.plans.labeling import draw_messages
 from textrisk.session import shared_folder, staged
 from textrisk.sources import exports, samples
@@ -623,17 +623,14 @@ def class_guard(spark: SparkSession, folder: str) -> DataFrame:
 
 
 # --- models -------------------------------------------------------------------------------------------------
-# Small settings, so that a run over the tables takes seconds; the defaults are in ``models``.
+# The settings are the defaults of ``models`` and ``plans/training``; all labelled documents take part.
 
-SMALL_TEXT = textvec.FeatureSpec(max_features=500)
-SMALL_MODELS = {
-    "Logistic Regression": models.LogisticSpec(SMALL_TEXT, max_iter=50),
-    "Linear SVM": models.CalibratedSvmSpec(SMALL_TEXT, max_iter=30, id_columns=("doc_id",)),
-    "RandomForest": models.ForestSpec(SMALL_TEXT, trees=20, depth=8),
+TABLE_MODELS = {
+    **models.DEFAULT_MODELS,
+    "Linear SVM": replace(models.DEFAULT_MODELS["Linear SVM"], id_columns=("doc_id",)),
 }
-SMALL_BOOSTED = models.BoostedSpec(
-    replace(models.BoostedSpec().features, max_features=200), rounds=5
-)
+BOOSTED = models.BoostedSpec()
+SWEEP_BOOSTED = models.BoostedSpec(rounds=training.SWEEP_ROUNDS)
 
 
 def _training_set(spark: SparkSession, folder: str) -> DataFrame:
@@ -654,13 +651,13 @@ def _train_test(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]
 def feature_vectors(spark: SparkSession, folder: str) -> DataFrame:
     """Slots of the assembled vectors of all labelled documents, fitted on the training part."""
     split = _training_set(spark, folder)
-    block = SMALL_TEXT.fit(split.where(~F.col("is_test")))
+    block = TABLE_MODELS["Logistic Regression"].features.fit(split.where(~F.col("is_test")))
     return rounded(block.entries(block.transform(split), ["doc_id"]), ["value"])
 
 
 @query
 def model_leaderboard(spark: SparkSession, folder: str) -> DataFrame:
-    _, board = models.fit_all(*_train_test(spark, folder), SMALL_MODELS)
+    _, board = models.fit_all(*_train_test(spark, folder), TABLE_MODELS)
     return rounded(board, ["f1", "roc_auc"])
 
 
@@ -668,7 +665,7 @@ def model_leaderboard(spark: SparkSession, folder: str) -> DataFrame:
 def scored_messages(spark: SparkSession, folder: str) -> DataFrame:
     """All messages scored by a model trained on the labelled documents."""
     train, _ = _train_test(spark, folder)
-    fitted = SMALL_MODELS["Logistic Regression"].fit(train)
+    fitted = TABLE_MODELS["Logistic Regression"].fit(train)
     named = message_ops.pseudonymize(inputs.messages(spark, folder))
     featured = risk.add_features(named, "text", inputs.TABLE_LEXICON)
     return rounded(models.score_messages(fitted, featured), ["toxicity_score"])
@@ -677,7 +674,7 @@ def scored_messages(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def boosted_metrics(spark: SparkSession, folder: str) -> DataFrame:
     train, test = _train_test(spark, folder)
-    rated = staged(SMALL_BOOSTED.fit(train).predict(test).select("toxic", "score", "prediction"))
+    rated = staged(BOOSTED.fit(train).predict(test).select("toxic", "score", "prediction"))
     metrics = evaluation.binary_metrics(rated, "toxic")
     area = evaluation.roc_auc(evaluation.score_points(rated, "toxic"))
     return rounded(metrics.withColumn("roc_auc", area.scalar()), [*metrics.columns, "roc_auc"])
@@ -685,7 +682,7 @@ def boosted_metrics(spark: SparkSession, folder: str) -> DataFrame:
 
 def _sweep(spark: SparkSession, folder: str) -> DataFrame:
     train, _ = _train_test(spark, folder)
-    return models.size_sweep(staged(train), SMALL_BOOSTED, [200], ["doc_id"], max_folds=2)
+    return models.size_sweep(staged(train), SWEEP_BOOSTED, training.SIZES, ["doc_id"])
 
 
 @query
@@ -701,25 +698,20 @@ def near_best_size(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def random_search(spark: SparkSession, folder: str) -> DataFrame:
     train, _ = _train_test(spark, folder)
-    settings = [
-        {**drawn, "max_features": drawn["max_features"] // 100, "rounds": drawn["rounds"] // 100}
-        for drawn in models.draw_settings(3, SEED)
-    ]
-    table, _ = models.random_search(staged(train), SMALL_BOOSTED, settings, ["doc_id"], max_folds=2)
+    settings = models.draw_settings(training.TRIALS, SEED)
+    table, _ = models.random_search(staged(train), BOOSTED, settings, ["doc_id"])
     return table
 
 
 @query
 def learning_curve(spark: SparkSession, folder: str) -> DataFrame:
     train, _ = _train_test(spark, folder)
-    return models.learning_curve(
-        staged(train), SMALL_BOOSTED, (0.5, 1.0), ["doc_id"], max_folds=2
-    )
+    return models.learning_curve(staged(train), BOOSTED, training.FRACTIONS, ["doc_id"])
 
 
 @query
 def feature_importance(spark: SparkSession, folder: str) -> DataFrame:
     train, _ = _train_test(spark, folder)
     return rounded(
-        models.feature_importance(SMALL_BOOSTED.fit(train), spark), ["importance"]
+        models.feature_importance(BOOSTED.fit(train), spark), ["importance"]
     )
