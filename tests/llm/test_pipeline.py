@@ -6,6 +6,7 @@ import pytest
 
 import corpus_pipeline
 from textrisk.llm.mixing import MixTarget
+from textrisk.llm.suffix_match import remove_overlapping
 
 from .test_exact import brute_mix, brute_overlaps
 from .test_ngram_join import brute_components
@@ -96,3 +97,18 @@ def test_near_copies_of_an_id_with_several_texts(spark):
     kept = [(r.doc_id, r.text) for r in corpus_pipeline.drop_near_copies(spark, docs, FOLDER).collect()]
     assert sorted(doc_id for doc_id, _ in kept) == [1, 10, 12]
     assert (1, one) in kept and (10, other) in kept
+
+
+@pytest.mark.parametrize("lang", [None, "und"])
+def test_language_stage_without_a_known_language(spark, lang):
+    rows = [(1, "some words", lang, "s", 10), (2, "12 !", lang, "s", 4), (3, None, lang, "s", 0), (4, "é", lang, "s", 1)]
+    docs = spark.createDataFrame(rows, DOCUMENTS)
+    kept = corpus_pipeline.identify_language(spark, docs, FOLDER).collect()
+    assert sorted(r.doc_id for r in kept) == [1, 4]
+
+
+def test_benchmark_items_without_id_are_searched(spark):
+    words = " ".join(f"w{i}" for i in range(12))
+    docs = spark.createDataFrame([(1, f"a {words} b", "en", "s", 1), (2, "other", "en", "s", 1)], DOCUMENTS)
+    items = spark.createDataFrame([(None, words), (1, None), (None, None)], "item_id bigint, text string")
+    assert [r.doc_id for r in remove_overlapping(docs, items).collect()] == [2]

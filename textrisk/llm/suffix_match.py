@@ -271,7 +271,11 @@ def remove_overlapping(
     small_batches(documents.sparkSession)
     text = documents.columns.index("text")
     kept = documents
-    for block, _, items in _blocks(benchmark, block_bytes):
+    # Nothing is told of the items, so those without id are searched too.
+    named = benchmark.select(
+        F.coalesce(F.col("item_id").cast("bigint"), F.lit(0)).alias("item_id"), "text"
+    )
+    for block, _, items in _blocks(named, block_bytes):
         suffixes = TestSuffixes.build(items, width)
         source = kept if block == 0 else staged(kept)
         kept = source.mapInArrow(
