@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textrisk.llm import (
+    byte_bpe,
     chat,
     cover_tree,
     html_text,
@@ -120,6 +121,20 @@ def op10_privacy(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    encoded = byte_bpe.encode_texts(_table(spark, folder, "documents"))
+    ids = F.array_join(F.col("token_ids").cast("array<string>"), ",")
+    counted = encoded.select(
+        "doc_id",
+        F.size("token_ids").cast("bigint").alias("n_tokens"),
+        F.sha2(ids, 256).alias("ids_sha256"),
+        "token_ids",
+    )
+    return byte_bpe.decode_tokens(counted).select(
+        "doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256")
+    )
+
+
 QUERIES = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
     "op2_quality": op2_quality,
@@ -131,6 +146,7 @@ QUERIES = {
     "op8_chat": op8_chat,
     "op9_top_products": op9_top_products,
     "op10_privacy": op10_privacy,
+    "op11_byte_bpe": op11_byte_bpe,
 }
 
 _LOWERED = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
