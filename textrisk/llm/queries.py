@@ -13,6 +13,7 @@ from textrisk.llm import (
     language,
     mixing,
     ngram_join,
+    phrases,
     privacy,
     quality,
     suffix_match,
@@ -135,6 +136,10 @@ def op11_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op12_phrases(spark: SparkSession, folder: str) -> DataFrame:
+    return phrases.collocations(_table(spark, folder, "documents"))
+
+
 QUERIES = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
     "op2_quality": op2_quality,
@@ -147,6 +152,7 @@ QUERIES = {
     "op9_top_products": op9_top_products,
     "op10_privacy": op10_privacy,
     "op11_byte_bpe": op11_byte_bpe,
+    "op12_phrases": op12_phrases,
 }
 
 _LOWERED = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -278,4 +284,43 @@ ORACLES: dict[str, str] = {
             coalesce(n_hit, 0) > 0 AS contaminated
         FROM doc LEFT JOIN per USING (doc_id) LEFT JOIN items USING (doc_id)
     """,
+    "op12_phrases": rf"""
+        WITH piece AS (
+            SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+                {_LOWERED.format("coalesce(text, '')")}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents
+        ), worded AS (
+            SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM piece
+        ), total AS (
+            SELECT lang, sum(len(w))::BIGINT AS n FROM worded GROUP BY lang
+        ), counted AS (
+            SELECT lang, size, array_to_string(list_slice(w, pos, pos + size - 1), ' ') AS phrase,
+                count(*) AS f
+            FROM worded, (SELECT unnest(range(1, 6)) AS size), unnest(range(1, len(w) - size + 2)) AS t(pos)
+            GROUP BY ALL HAVING count(*) >= 100
+        ), cut AS (
+            SELECT lang, size, phrase, f AS a, k,
+                array_to_string(list_slice(string_split(phrase, ' '), 1, k), ' ') AS head,
+                array_to_string(list_slice(string_split(phrase, ' '), k + 1, size), ' ') AS tail
+            FROM counted, unnest(range(1, size)) AS t(k) WHERE size > 1
+        ), scored AS (
+            SELECT cut.lang, cut.phrase, a, k, x.f AS l, y.f AS r, n,
+                ((1000::HUGEINT * a::HUGEINT * n::HUGEINT) // (x.f::HUGEINT * y.f::HUGEINT))::BIGINT AS score
+            FROM cut JOIN counted x ON x.lang = cut.lang AND x.phrase = head
+            JOIN counted y ON y.lang = cut.lang AND y.phrase = tail JOIN total ON total.lang = cut.lang
+        ), lowest AS (
+            SELECT * FROM scored
+            QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+        ), within AS (
+            SELECT DISTINCT lang, f, array_to_string(list_slice(string_split(phrase, ' '), pos, pos + part - 1), ' ')
+                AS phrase
+            FROM counted, unnest(range(2, size)) AS s(part), unnest(range(1, size - part + 2)) AS t(pos)
+        ), ranked AS (
+            SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+                phrase, a, l, r, n, score
+            FROM lowest WHERE NOT EXISTS (
+                SELECT 1 FROM within WHERE within.lang = lowest.lang AND within.phrase = lowest.phrase
+                    AND 100 * within.f >= 100 * a)
+        )
+        SELECT * FROM ranked WHERE rank <= 2000
+    """,
 }
