@@ -16,6 +16,7 @@ from textrisk.llm import (
     phrases,
     privacy,
     quality,
+    spelling,
     suffix_match,
     warc,
 )
@@ -140,6 +141,10 @@ def op12_phrases(spark: SparkSession, folder: str) -> DataFrame:
     return phrases.collocations(_table(spark, folder, "documents"))
 
 
+def op13_spelling(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.group_variants(spelling.word_counts(_table(spark, folder, "documents")))
+
+
 QUERIES = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
     "op2_quality": op2_quality,
@@ -153,6 +158,7 @@ QUERIES = {
     "op10_privacy": op10_privacy,
     "op11_byte_bpe": op11_byte_bpe,
     "op12_phrases": op12_phrases,
+    "op13_spelling": op13_spelling,
 }
 
 _LOWERED = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
