@@ -29,6 +29,8 @@ RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 PIECE_CHARS = 1 << 18
 #: White space from which on a run is a piece of its own.
 LONG_RUN = 1 << 16
+#: Tokens that are decoded at once; one longer list is decoded by itself.
+TOKENS = 1 << 18
 
 # The characters with the Unicode property White_Space.
 _SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -99,10 +101,11 @@ def encode_texts(
         for batch in batches:
             texts = batch.column(kept)
             for begin, end in slices(texts):
-                found = [encode(text or "", encodings) for text in texts[begin:end].to_pylist()]
+                found = [
+                    np.array(encode(text.as_py() or "", encodings), np.int32) for text in texts[begin:end]
+                ]
                 bounds = np.cumsum([0, *map(len, found)], dtype=np.int32)
-                flat = np.fromiter((i for ids in found for i in ids), np.int32, int(bounds[-1]))
-                lists = pa.ListArray.from_arrays(pa.array(bounds), pa.array(flat))
+                lists = pa.ListArray.from_arrays(pa.array(bounds), pa.array(np.concatenate(found)))
                 parts = [batch.column(i)[begin:end] for i in range(kept)]
                 yield pa.RecordBatch.from_arrays([*parts, lists], [*columns, "token_ids"])
 
@@ -122,10 +125,21 @@ def decode_tokens(
     def work(batches):
         merges, _ = load_ranks(ranks, pattern)
         for batch in batches:
-            decoded = [merges.decode_bytes(ids or []) for ids in batch.column(place).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(decoded, pa.binary())], [*batch.schema.names, "decoded"]
-            )
+            lists = batch.column(place)
+            bounds, flat = lists.offsets.to_numpy(), lists.values.to_numpy()
+            begin = 0
+            while begin < len(lists):
+                # Rows of about so many tokens at once, one at least.
+                end = int(np.searchsorted(bounds, bounds[begin] + TOKENS, "right")) - 1
+                end = min(max(end, begin + 1), len(lists))
+                decoded = [
+                    merges.decode_bytes(flat[a:b].tolist()) for a, b in zip(bounds[begin:end], bounds[begin + 1 :])
+                ]
+                yield pa.RecordBatch.from_arrays(
+                    [*batch.slice(begin, end - begin).columns, pa.array(decoded, pa.binary())],
+                    [*batch.schema.names, "decoded"],
+                )
+                begin = end
 
     schema = T.StructType([*encoded.schema, T.StructField("decoded", T.BinaryType())])
     return encoded.mapInArrow(work, schema)
