@@ -78,7 +78,8 @@ def test_overlaps_equal_brute_force(spark, seed, block_bytes):
         assert all(a < span.start for a, span in zip(ends, row.spans[1:]))
     kept = suffix_match.remove_overlapping(documents, benchmark, block_bytes=block_bytes)
     assert kept.columns == documents.columns
-    clean = sorted((str(d), str(t)) for d, t, *_ in texts if not expected[d][1])
+    named = [(i, item) for i, (_, item) in enumerate(items)]  # items without id are searched too
+    clean = sorted((str(d), str(t)) for d, t, *_ in texts if not brute_overlaps(t, named)[1])
     assert sorted((str(r.doc_id), str(r.text)) for r in kept.collect()) == clean
 
 
@@ -115,16 +116,18 @@ def brute_top(vectors, k):
     return out
 
 
-@pytest.mark.parametrize("block_rows", [8192, 37])
-def test_top_products_equal_brute_force(spark, block_rows):
+@pytest.mark.parametrize("block_rows, leaf_rows", [(8192, 512), (37, 512), (8192, 6), (100, 3)])
+def test_top_products_equal_brute_force(spark, block_rows, leaf_rows):
     rng = np.random.default_rng(5)
     centres = rng.integers(-60, 60, (5, 12))
     rows = [(i, (centres[i % 5] + rng.integers(-9, 9, 12)).tolist()) for i in range(400)]
     rows += [(500 + i, rows[0][1]) for i in range(60)]  # ties
     rows += [(0, rows[0][1]), (20, [1] * 12), (None, [1] * 12), (7, None), (600, [1, 2]), (601, [3, 4])]
+    # one id with many vectors, some of them the best
+    rows += [(800, (np.array(rows[i][1]) * 2).tolist()) for i in range(0, 400, 7)]
     frame = spark.createDataFrame(rows, "vec_id bigint, vector array<bigint>").withColumn("score", F.lit("x"))
     queries = frame.where("vec_id % 20 = 0").withColumnRenamed("vec_id", "query_id")
-    found = cover_tree.top_products(frame, queries, 20, block_rows)
+    found = cover_tree.top_products(frame, queries, 20, block_rows, leaf_rows)
     got = sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in found.collect())
     assert got == sorted(brute_top(rows, 20))
 
@@ -143,6 +146,39 @@ def test_cover_tree_covers():
             todo += node.children
 
 
+def test_clusters_are_pruned():
+    rng = np.random.default_rng(4)
+    centres = rng.normal(0, 1, (40, 16))
+    centres *= 600 / np.sqrt((centres**2).sum(axis=1))[:, None]
+    data = np.rint(centres[np.arange(8000) % 37] + rng.normal(0, 8, (8000, 16))).astype(np.int64)
+    queries, ids = data[::20], np.arange(8000)
+    search = cover_tree.DualSearch(queries, ids[::20], data, ids, 20, leaf_rows=32)
+    search.run()
+    share = search.compared / (len(queries) * len(data))
+    assert share < 0.25, share
+    scores = queries @ data.T
+    scores[np.arange(len(queries)), ids[::20]] = -(10**12)
+    order = np.lexsort((np.broadcast_to(ids, scores.shape), -scores), axis=-1)[:, :20]
+    assert (search.found == order).all()
+    assert (search.scores == np.take_along_axis(scores, order, 1)).all()
+
+
+def test_large_scores_are_exact():
+    rng = np.random.default_rng(9)
+    data = rng.integers(-(10**9), 10**9, (300, 8))
+    data[7] = data[8] + 1  # scores that differ by less than doubles do
+    ids = np.arange(300)
+    search = cover_tree.DualSearch(data[:40], ids[:40], data, ids, 5, leaf_rows=16)
+    search.run()
+    for row in range(40):
+        best = sorted((-sum(a * b for a, b in zip(data[row].tolist(), other)), i)
+                      for i, other in enumerate(data.tolist()) if i != row)[:5]
+        assert [(-s, i) for s, i in zip(search.scores[row].tolist(), search.found[row].tolist())] == best
+    wide = np.full((2, 8), 3 * 10**9)
+    with pytest.raises(ValueError):
+        cover_tree.DualSearch(wide, np.array([0, 1]), wide, np.array([0, 1]), 1).run()
+
+
 def test_scaled_and_empty(spark):
     rows = [([0.5, -0.01],), ([float("nan")],), ([float("inf")],), ([1.0, None],), (None,), ([],)]
     frame = spark.createDataFrame(rows, "embedding array<float>")

@@ -251,9 +251,9 @@ ORACLES: dict[str, str] = {
             FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
                 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
         ), scored AS (
-            SELECT q.vec_id AS query_id, d.vec_id, list_inner_product(q.v, d.v)::BIGINT AS score
+            SELECT q.vec_id AS query_id, d.vec_id, max(list_inner_product(q.v, d.v))::BIGINT AS score
             FROM usable q JOIN usable d ON q.vec_id <> d.vec_id AND len(q.v) = len(d.v)
-            WHERE q.vec_id % 20 = 0
+            WHERE q.vec_id % 20 = 0 GROUP BY ALL
         ), ranked AS (
             SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank
             FROM scored
