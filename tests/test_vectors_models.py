@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 from textrisk.functions.risk import Lexicon, add_features
 from textrisk.operators import models, textvec
+from textrisk.operators.boosted_fits import PenalisedSpec
+from textrisk.operators.meancut import MeanCutSpec, draw_cuts
 from textrisk.operators.sampling import holdout_split
 from textrisk.plans import catalog, training as plan
 
@@ -163,6 +165,9 @@ def test_settings_are_seeded_and_in_range():
     drawn = models.draw_settings(50, 7)
     assert drawn == models.draw_settings(50, 7) != models.draw_settings(50, 8)
     assert all(2 <= s["depth"] <= 6 and 0.65 <= s["row_share"] <= 1 for s in drawn)
+    assert all(len(s) == 10 and 0 <= s["l1"] <= 1 and 0.5 <= s["l2"] <= 3.5 for s in drawn)
+    spec = models.with_settings(models.BoostedSpec(), drawn[0])  # without leaf penalties
+    assert (spec.rounds, spec.features.ngram_range[1]) == (drawn[0]["rounds"], drawn[0]["ngram_high"])
 
 
 def test_model_queries_have_the_full_settings(monkeypatch):
@@ -170,22 +175,26 @@ def test_model_queries_have_the_full_settings(monkeypatch):
 
     def note(name, result=None):
         def call(_, spec, *more, **named):
-            called[name] = (spec, more, named)
-            return result
+            called.setdefault(name, []).append((spec, more, named))
+            raise StopIteration
 
         monkeypatch.setattr(catalog.models, name, call)
 
     monkeypatch.setattr(catalog, "_train_test", lambda *_: (None, None))
+    monkeypatch.setattr(catalog, "_train_numbers", lambda *_: None)
     monkeypatch.setattr(catalog, "staged", lambda frame: frame)
-    note("size_sweep"), note("random_search", (None, None)), note("learning_curve")
-    for name in ("size_sweep", "random_search", "learning_curve"):
-        catalog.QUERIES[name](None, "")
-    full, ids = models.BoostedSpec(), ["doc_id"]
-    sweep = models.BoostedSpec(rounds=plan.SWEEP_ROUNDS)
-    assert called["size_sweep"] == (sweep, (plan.SIZES, ids), {})
-    assert called["random_search"] == (full, (models.draw_settings(plan.TRIALS, catalog.SEED), ids), {})
-    assert called["learning_curve"] == (full, (plan.FRACTIONS, ids), {})
-    assert catalog.BOOSTED == full
+    note("size_sweep"), note("random_search"), note("learning_curve")
+    for name in ("size_sweep", "near_best_size", "random_search", "boosted_search", "learning_curve"):
+        with pytest.raises(StopIteration):
+            catalog.QUERIES[name](None, "")
+    closed, ids = MeanCutSpec(), ["doc_id"]
+    assert called["size_sweep"] == 2 * [(closed, (plan.SIZES, ids), {})]
+    assert called["random_search"] == [
+        (closed, (draw_cuts(plan.TRIALS, catalog.SEED), ids), {}),
+        (PenalisedSpec(), (models.draw_settings(plan.TRIALS, catalog.SEED), ids), {}),
+    ]
+    assert called["learning_curve"] == [(closed, (plan.FRACTIONS, ids), {})]
+    assert catalog.BOOSTED == models.BoostedSpec()
     for name, spec in models.DEFAULT_MODELS.items():
         own = catalog.TABLE_MODELS[name]
         assert (replace(own, id_columns=spec.id_columns) if hasattr(spec, "id_columns") else own) == spec

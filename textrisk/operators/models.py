@@ -9,7 +9,8 @@ from __future__ import annotations
 import random
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, field, fields, replace
+from functools import reduce
 from typing import Any
 
 from pyspark import StorageLevel
@@ -29,6 +30,7 @@ from textrisk.functions import fixed
 from textrisk.operators.evaluation import binary_metrics
 from textrisk.operators.ordering import top_rows
 from textrisk.operators.sampling import assign_folds, learning_prefixes, stratified_subsample
+from textrisk.operators.studies import Fit, rate_fits
 from textrisk.operators.summary import class_weights
 from textrisk.operators.textvec import FeatureModel, FeatureSpec
 from textrisk.session import staged
@@ -296,30 +298,44 @@ def score_messages(
     return fitted.score(messages, name).select(*kept, name)
 
 
-def cross_validate(
-    df: DataFrame,
-    spec,
-    folds: int,
-    label: str = "toxic",
-    prefix: Column | None = None,
-    parallelism: int = 2,
+def run_fits(
+    rows: DataFrame, spec, fits: Sequence[Fit], label: str = "toxic", parallelism: int = 2
 ) -> list[dict[str, float]]:
-    """Fit on all folds but one and rate both sides, for each fold; ``df`` has ``fold``.
+    """Both sides of every fit rated, in the order of ``fits``; see ``studies`` for the rows.
 
-    ``prefix`` narrows the training side further.
+    A spec with ``score_fits`` scores all fits over shared passes. Others are fitted one by
+    one, ``parallelism`` at a time, each on the whole cluster.
     """
-
-    def rate(fold: int) -> dict[str, float]:
-        inside = F.col("fold") != fold
-        inside = inside if prefix is None else inside & prefix
-        fitted = spec.fit(df.where(inside), label)
-        train, valid = _rate(fitted, df, label, inside, F.col("fold") == fold)
+    if hasattr(spec, "score_fits"):
+        # Two rows per fit.
+        found = {(r["fit"], r["teaches"]): r for r in rate_fits(spec.score_fits(rows, fits, label), label).collect()}
+        return [
+            {
+                f"{side}_{name}": float(found[fit.number, teaches][name])
+                for side, teaches in (("train", True), ("cv", False))
+                for name in ("f1", "roc_auc")
+            }
+            for fit in fits
+        ]
+
+    def rate(fit: Fit) -> dict[str, float]:
+        own = rows if "part" not in rows.columns else rows.where(F.col("part") == fit.part)
+        inside = F.col("fold") != fit.fold
+        inside = inside if fit.step is None else inside & (F.col("prefix") <= fit.step)
+        fitted = with_settings(spec, fit.settings).fit(own.where(inside), label)
+        train, valid = _rate(fitted, own, label, inside, F.col("fold") == fit.fold)
         return {
             "train_f1": train["f1"], "train_roc_auc": train["roc_auc"],
             "cv_f1": valid["f1"], "cv_roc_auc": valid["roc_auc"],
         }
 
-    return _submit(rate, range(folds), parallelism)
+    return _submit(rate, fits, parallelism)
+
+
+def bounded(train: DataFrame, spec, label: str, id_columns: Sequence[str], seed: int) -> DataFrame:
+    """A spec that fits in single tasks names its ``most_rows``: more are drawn down to it."""
+    most = getattr(spec, "most_rows", None)
+    return train if most is None else stratified_subsample(train, label, id_columns, most, seed)
 
 
 def _mean_std(results: Sequence[Mapping[str, float]], name: str) -> tuple[float, float]:
@@ -334,7 +350,7 @@ def _folds_for(smallest: int, most: int) -> int:
 
 def size_sweep(
     train: DataFrame,
-    spec: BoostedSpec,
+    spec,
     sizes: Sequence[int],
     id_columns: Sequence[str],
     label: str = "toxic",
@@ -342,24 +358,28 @@ def size_sweep(
     seed: int = fixed.DEFAULT_SEED,
 ) -> DataFrame:
     """Cross-validated F1 by training size, up to and including all rows."""
+    train = bounded(train, spec, label, id_columns, seed)
     total = train.count()
-    rows = []
-    for size in sorted({s for s in sizes if s <= total} | {total}):
-        drawn = stratified_subsample(train, label, id_columns, size, seed)
-        counts = count_classes(drawn, label)
+    drawn, counted, fits = [], [], []
+    for part, size in enumerate(sorted({s for s in sizes if s <= total} | {total})):
+        sample = stratified_subsample(train, label, id_columns, size, seed)
+        counts = count_classes(sample, label)
         folds = _folds_for(counts.smallest, max_folds)
-        folded = assign_folds(drawn, label, id_columns, folds, seed)
-        folded = folded.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            results = cross_validate(folded, spec, folds, label)
-        finally:
-            folded.unpersist()
-        rows.append(
+        folded = assign_folds(sample, label, id_columns, folds, seed)
+        drawn.append(folded.withColumn("part", F.lit(part)))
+        counted.append(counts)
+        fits += [Fit(len(fits) + fold, fold, part) for fold in range(folds)]
+    rows = staged(reduce(DataFrame.unionByName, drawn))
+    rated = run_fits(rows, spec, fits, label)
+    table = []
+    for part, counts in enumerate(counted):
+        results = [result for fit, result in zip(fits, rated) if fit.part == part]
+        table.append(
             (counts.rows, *_mean_std(results, "train_f1"), *_mean_std(results, "cv_f1"),
              counts.positives / counts.rows)
         )
     return train.sparkSession.createDataFrame(
-        rows,
+        table,
         "sample_size bigint, train_f1_mean double, train_f1_std double, "
         "cv_f1_mean double, cv_f1_std double, positive_share double",
     )
@@ -374,8 +394,8 @@ def near_best_size(sweep: DataFrame, tolerance: float = 0.98) -> DataFrame:
 
 
 def draw_settings(trials: int, seed: int = fixed.DEFAULT_SEED) -> list[dict[str, Any]]:
-    """Random settings of the boosted pipeline. MLlib trees have no leaf penalties, so the
-    two penalty dimensions are not drawn."""
+    """Random settings of the boosted pipeline, in ten dimensions. MLlib trees have no leaf
+    penalties: ``with_settings`` leaves out what a spec does not have."""
     source = random.Random(seed)
     # fixed values: ranges of the search
     return [
@@ -388,55 +408,60 @@ def draw_settings(trials: int, seed: int = fixed.DEFAULT_SEED) -> list[dict[str,
             "row_share": source.uniform(0.65, 1.0),
             "column_share": source.uniform(0.65, 1.0),
             "min_leaf": source.randint(1, 7),
+            "l1": source.uniform(0.0, 1.0),
+            "l2": source.uniform(0.5, 3.5),
         }
         for _ in range(trials)
     ]
 
 
-def with_settings(spec: BoostedSpec, settings: Mapping[str, Any]) -> BoostedSpec:
+def with_settings(spec, settings: Mapping[str, Any]):
+    if hasattr(spec, "with_settings"):
+        return spec.with_settings(settings)
     text = {}
     if "max_features" in settings:
         text["max_features"] = settings["max_features"]
     if "ngram_high" in settings:
         text["ngram_range"] = (1, settings["ngram_high"])
-    trees = {k: v for k, v in settings.items() if k not in ("max_features", "ngram_high")}
-    return replace(spec, features=replace(spec.features, **text), **trees)
+    own = {one.name for one in fields(spec)}
+    trees = {k: v for k, v in settings.items() if k in own}
+    return replace(spec, features=replace(spec.features, **text), **trees) if text else replace(spec, **trees)
 
 
 def random_search(
     train: DataFrame,
-    spec: BoostedSpec,
+    spec,
     settings: Sequence[Mapping[str, Any]],
     id_columns: Sequence[str],
     label: str = "toxic",
     max_folds: int = 5,
     parallelism: int = 2,
     seed: int = fixed.DEFAULT_SEED,
-) -> tuple[DataFrame, BoostedSpec]:
+) -> tuple[DataFrame, Any]:
     """Rate settings over the same folds; the table of trials and the spec with the best F1.
 
-    ``parallelism`` fits are submitted at a time; each runs on the whole cluster.
+    Fits of a spec without ``score_fits`` are submitted ``parallelism`` at a time; each runs
+    on the whole cluster.
     """
+    train = bounded(train, spec, label, id_columns, seed)
     folds = _folds_for(count_classes(train, label).smallest, max_folds)
-    folded = assign_folds(train, label, id_columns, folds, seed)
-    folded = folded.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        rated = _submit(
-            lambda s: cross_validate(folded, with_settings(spec, s), folds, label),
-            settings, parallelism,
-        )
-    finally:
-        folded.unpersist()
-    rows = []
+    folded = staged(assign_folds(train, label, id_columns, folds, seed))
+    fits = [
+        Fit(trial * folds + fold, fold, settings=chosen)
+        for trial, chosen in enumerate(settings)
+        for fold in range(folds)
+    ]
+    every = run_fits(folded, spec, fits, label, parallelism)
+    rated = [every[trial * folds : (trial + 1) * folds] for trial in range(len(settings))]
+    rows = []  # ranked by the rounded mean, so that equal folds tie whatever order they come in
     for trial, (chosen, results) in enumerate(zip(settings, rated)):
         mean_f1, std_f1 = _mean_std(results, "cv_f1")
         rows.append(
             (trial, mean_f1, std_f1, _mean_std(results, "cv_roc_auc")[0],
              _mean_std(results, "train_f1")[0], ", ".join(f"{k}={v}" for k, v in chosen.items()))
         )
-    by_f1 = sorted({row[1] for row in rows}, reverse=True)
-    ranked = [(1 + sum(r[1] > row[1] for r in rows), *row) for row in rows]
-    best = next(row for row in rows if row[1] == by_f1[0])
+    ranked = [(1 + sum(round(r[1], 9) > round(row[1], 9) for r in rows), *row) for row in rows]
+    best = next(row[1:] for row in ranked if row[0] == 1)
     table = train.sparkSession.createDataFrame(
         ranked,
         "rank_test_f1 int, trial int, mean_test_f1 double, std_test_f1 double, "
@@ -455,28 +480,28 @@ def learning_curve(
     seed: int = fixed.DEFAULT_SEED,
 ) -> DataFrame:
     """F1 and ROC-AUC on growing, nested parts of each training fold."""
-    counts = count_classes(train, label)
-    folds = _folds_for(counts.smallest, max_folds)
+    train = bounded(train, spec, label, id_columns, seed)
+    folds = _folds_for(count_classes(train, label).smallest, max_folds)
     fractions = sorted(fractions)
     folded = assign_folds(train, label, id_columns, folds, seed)
-    folded = learning_prefixes(folded, label, id_columns, fractions, seed)
-    folded = folded.persist(StorageLevel.MEMORY_AND_DISK)
+    folded = staged(learning_prefixes(folded, label, id_columns, fractions, seed))
+    fits = [
+        Fit((step - 1) * folds + fold, fold, step=step)
+        for step in range(1, len(fractions) + 1)
+        for fold in range(folds)
+    ]
+    every = run_fits(folded, spec, fits, label)
+    sizes = dict(folded.where(F.col("fold") != 0).groupBy("prefix").count().collect())
     rows = []
-    try:
-        sizes = dict(
-            folded.where(F.col("fold") != 0).groupBy("prefix").count().collect()
-        )
-        for step in range(1, len(fractions) + 1):
-            results = cross_validate(folded, spec, folds, label, F.col("prefix") <= step)
-            size = sum(n for prefix, n in sizes.items() if prefix <= step)
-            summary = [
-                value
-                for name in ("train_f1", "cv_f1", "train_roc_auc", "cv_roc_auc")
-                for value in _mean_std(results, name)
-            ]
-            rows.append((size, *summary))
-    finally:
-        folded.unpersist()
+    for step in range(1, len(fractions) + 1):
+        results = every[(step - 1) * folds : step * folds]
+        size = sum(n for prefix, n in sizes.items() if prefix <= step)
+        summary = [
+            value
+            for name in ("train_f1", "cv_f1", "train_roc_auc", "cv_roc_auc")
+            for value in _mean_std(results, name)
+        ]
+        rows.append((size, *summary))
     return train.sparkSession.createDataFrame(
         rows,
         "train_size bigint, train_f1_mean double, train_f1_std double, cv_f1_mean double, "
@@ -485,9 +510,12 @@ def learning_curve(
     )
 
 
-def feature_importance(fitted: FittedClassifier, spark, count: int = 30) -> DataFrame:
+def feature_importance(fitted, spark, count: int = 30) -> DataFrame:
     """The most important features by name (at most one row per vector slot is built)."""
-    weights = fitted.model.featureImportances.toArray()
-    rows = [(n, float(w)) for n, w in zip(fitted.features.names, weights)]
+    if hasattr(fitted, "importance"):
+        rows = list(fitted.importance().items())
+    else:
+        weights = fitted.model.featureImportances.toArray()
+        rows = [(n, float(w)) for n, w in zip(fitted.features.names, weights)]
     table = spark.createDataFrame(rows, "feature string, importance double")
     return top_rows(table, [F.desc("importance"), F.asc("feature")], count)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +23,8 @@ from textrisk.operators import (
     textvec,
     trends,
 )
+from textrisk.operators.boosted_fits import PenalisedSpec
+from textrisk.operators.meancut import MeanCutSpec, draw_cuts
 from textrisk.operators.quantiles import exact_quantiles
 from textrisk.plans import inputs, training
 from textrisk.plans.labeling import draw_messages
@@ -623,14 +626,23 @@ def class_guard(spark: SparkSession, folder: str) -> DataFrame:
 
 
 # --- models -------------------------------------------------------------------------------------------------
-# The settings are the defaults of ``models`` and ``plans/training``; all labelled documents take part.
+# All labelled documents take part, with the sizes, folds, fractions and draws of ``plans/training``. Results
+# that other engines must reproduce to the digit come from classifiers in closed form; of the others, rows tell
+# what does not depend on their random draws.
 
 TABLE_MODELS = {
     **models.DEFAULT_MODELS,
     "Linear SVM": replace(models.DEFAULT_MODELS["Linear SVM"], id_columns=("doc_id",)),
 }
 BOOSTED = models.BoostedSpec()
-SWEEP_BOOSTED = models.BoostedSpec(rounds=training.SWEEP_ROUNDS)
+PENALISED = PenalisedSpec()
+CLOSED_MODELS = {
+    "Risk score": MeanCutSpec(),
+    "Length": MeanCutSpec("char_len", 0.4),
+    "Hostile words": MeanCutSpec("hostile_count"),
+    "Capitals": MeanCutSpec("caps_ratio", 0.6),
+}
+CLOSED = MeanCutSpec()
 
 
 def _training_set(spark: SparkSession, folder: str) -> DataFrame:
@@ -647,6 +659,11 @@ def _train_test(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]
     return split.where(~F.col("is_test")), split.where("is_test")
 
 
+def _train_numbers(spark: SparkSession, folder: str) -> DataFrame:
+    """The training rows without their texts, staged."""
+    return staged(_train_test(spark, folder)[0].drop("text", "is_test"))
+
+
 @query
 def feature_vectors(spark: SparkSession, folder: str) -> DataFrame:
     """Slots of the assembled vectors of all labelled documents, fitted on the training part."""
@@ -657,61 +674,103 @@ def feature_vectors(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def model_leaderboard(spark: SparkSession, folder: str) -> DataFrame:
-    _, board = models.fit_all(*_train_test(spark, folder), TABLE_MODELS)
+    _, board = models.fit_all(*_train_test(spark, folder), CLOSED_MODELS)
     return rounded(board, ["f1", "roc_auc"])
 
 
 @query
 def scored_messages(spark: SparkSession, folder: str) -> DataFrame:
     """All messages scored by a model trained on the labelled documents."""
-    train, _ = _train_test(spark, folder)
-    fitted = TABLE_MODELS["Logistic Regression"].fit(train)
+    fitted = CLOSED.fit(_train_numbers(spark, folder))
     named = message_ops.pseudonymize(inputs.messages(spark, folder))
     featured = risk.add_features(named, "text", inputs.TABLE_LEXICON)
     return rounded(models.score_messages(fitted, featured), ["toxicity_score"])
 
 
-@query
-def boosted_metrics(spark: SparkSession, folder: str) -> DataFrame:
-    train, test = _train_test(spark, folder)
-    rated = staged(BOOSTED.fit(train).predict(test).select("toxic", "score", "prediction"))
-    metrics = evaluation.binary_metrics(rated, "toxic")
-    area = evaluation.roc_auc(evaluation.score_points(rated, "toxic"))
-    return rounded(metrics.withColumn("roc_auc", area.scalar()), [*metrics.columns, "roc_auc"])
-
-
-def _sweep(spark: SparkSession, folder: str) -> DataFrame:
-    train, _ = _train_test(spark, folder)
-    return models.size_sweep(staged(train), SWEEP_BOOSTED, training.SIZES, ["doc_id"])
+SWEEP_COLUMNS = ("train_f1_mean", "train_f1_std", "cv_f1_mean", "cv_f1_std", "positive_share")
 
 
 @query
 def size_sweep(spark: SparkSession, folder: str) -> DataFrame:
-    return _sweep(spark, folder)
+    sweep = models.size_sweep(_train_numbers(spark, folder), CLOSED, training.SIZES, ["doc_id"])
+    return rounded(sweep, SWEEP_COLUMNS)
 
 
 @query
 def near_best_size(spark: SparkSession, folder: str) -> DataFrame:
-    return models.near_best_size(_sweep(spark, folder))
+    sweep = models.size_sweep(_train_numbers(spark, folder), CLOSED, training.SIZES, ["doc_id"])
+    return models.near_best_size(sweep)
 
 
 @query
 def random_search(spark: SparkSession, folder: str) -> DataFrame:
-    train, _ = _train_test(spark, folder)
-    settings = models.draw_settings(training.TRIALS, SEED)
-    table, _ = models.random_search(staged(train), BOOSTED, settings, ["doc_id"])
-    return table
+    settings = draw_cuts(training.TRIALS, SEED)
+    table, _ = models.random_search(_train_numbers(spark, folder), CLOSED, settings, ["doc_id"])
+    return rounded(table, ["mean_test_f1", "std_test_f1", "mean_test_roc_auc", "mean_train_f1"])
 
 
 @query
 def learning_curve(spark: SparkSession, folder: str) -> DataFrame:
-    train, _ = _train_test(spark, folder)
-    return models.learning_curve(staged(train), BOOSTED, training.FRACTIONS, ["doc_id"])
+    curve = models.learning_curve(_train_numbers(spark, folder), CLOSED, training.FRACTIONS, ["doc_id"])
+    return rounded(curve, [name for name in curve.columns if name != "train_size"])
+
+
+def _ratings(scored: DataFrame, *names: str) -> DataFrame:
+    """Per name: rows, positives, and whether all scores lie in 0 to 1 and agree with the predictions."""
+    inside = F.col("score").between(0.0, 1.0) & ((F.col("score") > 0.5) == (F.col("prediction") == 1))
+    return scored.groupBy(*names).agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(F.col("toxic") == 1).alias("positives"),
+        F.bool_and(F.coalesce(inside, F.lit(False))).alias("scores_agree"),
+    )
+
+
+@query
+def classifier_ratings(spark: SparkSession, folder: str) -> DataFrame:
+    """The MLlib classifiers with their default settings, on the test rows."""
+    train, test = _train_test(spark, folder)
+    fitted, _ = models.fit_all(train, test, TABLE_MODELS)
+    scored = [
+        model.predict(test).select(F.lit(name).alias("model"), "toxic", "score", "prediction")
+        for name, model in fitted.items()
+    ]
+    return _ratings(staged(reduce(DataFrame.unionByName, scored)), "model")
+
+
+@query
+def boosted_metrics(spark: SparkSession, folder: str) -> DataFrame:
+    """The boosted trees on the test rows."""
+    train, test = _train_test(spark, folder)
+    rated = staged(BOOSTED.fit(train).predict(test).select("toxic", "score", "prediction"))
+    metrics = evaluation.binary_metrics(rated, "toxic")
+    area = evaluation.roc_auc(evaluation.score_points(rated, "toxic"))
+    whole = metrics.withColumn("roc_auc", area.scalar())
+    shares = [F.col(name).between(0.0, 1.0) for name in whole.columns]
+    valid = whole.select(reduce(lambda a, b: a & b, shares).alias("metrics_valid"))
+    return _ratings(rated.withColumn("model", F.lit("Boosted trees")), "model").crossJoin(valid)
+
+
+@query
+def boosted_search(spark: SparkSession, folder: str) -> DataFrame:
+    """The search over the settings of the trees with leaf penalties: what was drawn, and whether
+    all trials were rated over all folds."""
+    settings = models.draw_settings(training.TRIALS, SEED)
+    train = staged(_train_test(spark, folder)[0])
+    table, _ = models.random_search(train, PENALISED, settings, ["doc_id"])
+    rates = [F.col(name).between(0.0, 1.0) for name in ("mean_test_f1", "mean_test_roc_auc", "mean_train_f1")]
+    return table.select("trial", "params", reduce(lambda a, b: a & b, rates).alias("rated"))
 
 
 @query
 def feature_importance(spark: SparkSession, folder: str) -> DataFrame:
+    """Of the most important features of the boosted trees: how many, and what holds of all."""
     train, _ = _train_test(spark, folder)
-    return rounded(
-        models.feature_importance(BOOSTED.fit(train), spark), ["importance"]
+    fitted = BOOSTED.fit(train)
+    top = models.feature_importance(fitted, spark)
+    known = spark.createDataFrame([(name,) for name in fitted.features.names], "feature string")
+    return top.join(known, "feature", "left_semi").agg(
+        F.count(F.lit(1)).alias("features"),
+        F.count_distinct("feature").alias("names"),
+        F.bool_and(F.col("importance").between(0.0, 1.0)).alias("shares"),
+        (F.sum("importance") <= 1.0 + 1e-6).alias("within_whole"),
     )

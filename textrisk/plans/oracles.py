@@ -7,7 +7,11 @@ differently here than in the library.
 from __future__ import annotations
 
 from textrisk.functions import fixed
+from textrisk.operators.meancut import draw_cuts
+from textrisk.operators.models import draw_settings
+from textrisk.plans.catalog import CLOSED_MODELS
 from textrisk.plans.inputs import TABLE_LEXICON
+from textrisk.plans.training import SIZES, TRIALS
 
 ORACLES: dict[str, str] = {}
 
@@ -408,7 +412,7 @@ train AS (SELECT count(*) AS n FROM split WHERE NOT is_test),
 terms AS (
   SELECT term, ln((1.0::DOUBLE + any_value(n)) / (1.0::DOUBLE + count(*))) + 1.0::DOUBLE AS idf
   FROM counts JOIN split USING (doc_id), train WHERE NOT is_test GROUP BY term
-  HAVING count(*) >= 2 ORDER BY sum(tf) DESC, term LIMIT 500),
+  HAVING count(*) >= 2 ORDER BY sum(tf) DESC, term LIMIT 15000),
 raw AS (
   SELECT doc_id, term, tf * idf AS raw
   FROM counts JOIN terms USING (term) JOIN split USING (doc_id)),
@@ -425,6 +429,161 @@ slots AS (
   FROM tall JOIN moments USING (name))
 SELECT doc_id, name, round(value, 6) AS value FROM slots WHERE value <> 0"""
 
+# --- models --------------------------------------------------------------------------------------------
+
+_NUMBERS = ", ".join(fixed.BOOSTED_FEATURES)
+_SPLIT = f"""{_FEATURED}, labelled AS (
+  SELECT doc_id, toxic, {_NUMBERS} FROM featured JOIN labels USING (doc_id)),
+class_rows AS (SELECT toxic, count(*) AS n, sum(count(*)) OVER ()::BIGINT AS total FROM labelled GROUP BY toxic),
+held AS (
+  SELECT toxic, w * n // total + (row_number() OVER (ORDER BY w * n % total DESC, toxic)
+    <= w - sum(w * n // total) OVER ())::BIGINT AS quota
+  FROM (SELECT *, floor(0.2 * total + 0.5)::BIGINT AS w FROM class_rows)),
+split AS (
+  SELECT labelled.*, row_number() OVER (PARTITION BY toxic ORDER BY {_key("'42:holdout'", 'doc_id')}) <= quota
+    AS is_test FROM labelled JOIN held USING (toxic)),
+train AS (SELECT * FROM split WHERE NOT is_test)"""
+_LITERAL = "CASE number {} END::DOUBLE".format(
+    " ".join(f"WHEN '{name}' THEN {name}" for name in fixed.BOOSTED_FEATURES)
+)
+_CUT_SCORE = """CASE WHEN high <> low THEN least(1.0::DOUBLE, greatest(0.0::DOUBLE, 0.5::DOUBLE
+    + (value - (low + position * (high - low))) / (high - low) * 0.5::DOUBLE)) ELSE 0.5::DOUBLE END"""
+
+
+def _folded(source: str) -> str:
+    """``folded``: the rows of ``source``, which has ``part``, with their fold and prefix."""
+    steps = " + ".join(f"(turn + 1 > greatest(1, floor({f} * n + 0.5)))::INTEGER" for f in (0.2, 0.4, 0.6, 0.8, 1.0))
+    return f"""part_rows AS (SELECT part, toxic, count(*) AS n FROM {source} GROUP BY ALL),
+    part_folds AS (SELECT part, greatest(2, least(5, min(n))) AS folds FROM part_rows GROUP BY part),
+    placed AS (
+      SELECT s.*, n, folds, n // folds AS small, n % folds AS extra,
+        row_number() OVER (PARTITION BY part, toxic ORDER BY {_key("'42:prefix'", 'doc_id')}) - 1 AS turn,
+        row_number() OVER (PARTITION BY part, toxic ORDER BY {_key("'42:folds'", 'doc_id')}) - 1 AS seat
+      FROM {source} s JOIN part_rows USING (part, toxic) JOIN part_folds USING (part)),
+    folded AS (
+      SELECT *, CASE WHEN seat < extra * (small + 1) THEN seat // (small + 1)
+          ELSE extra + (seat - extra * (small + 1)) // small END AS fold, {steps} + 1 AS prefix
+      FROM placed)"""
+
+
+def _study(trials: str) -> str:
+    """``rated``: F1 and area of each trial, fold and side. ``trials`` has trial, part, step, number, position."""
+    return f"""trials AS ({trials}),
+    member AS (
+      SELECT trial, k.fold AS held, m.toxic, position, m.fold <> k.fold AS teaches, {_LITERAL} AS value
+      FROM folded m JOIN trials t USING (part) JOIN (SELECT DISTINCT part, fold FROM folded) k USING (part)
+      WHERE m.fold = k.fold OR step IS NULL OR m.prefix <= step),
+    means AS (
+      SELECT trial, held, avg(value) FILTER (toxic = 0) AS low, avg(value) FILTER (toxic = 1) AS high
+      FROM member WHERE teaches GROUP BY ALL),
+    scored_fits AS (SELECT *, {_CUT_SCORE} AS score FROM member JOIN means USING (trial, held)),
+    ordered_fits AS (
+      SELECT *, rank() OVER (PARTITION BY trial, held, teaches ORDER BY score)
+        + (count(*) OVER (PARTITION BY trial, held, teaches, score) - 1) / 2.0::DOUBLE AS place FROM scored_fits),
+    rated AS (
+      SELECT trial, held, teaches,
+        2.0::DOUBLE * count(*) FILTER (toxic = 1 AND score > 0.5)
+          / greatest(count(*) FILTER (toxic = 1) + count(*) FILTER (score > 0.5), 1) AS f1,
+        (sum(place) FILTER (toxic = 1) - count(*) FILTER (toxic = 1) * (count(*) FILTER (toxic = 1) + 1) / 2.0::DOUBLE)
+          / (count(*) FILTER (toxic = 1) * count(*) FILTER (toxic <> 1)) AS roc_auc
+      FROM ordered_fits GROUP BY ALL)"""
+
+
+def _mean_std(name: str, teaches: bool, alias: str) -> str:
+    side = "teaches" if teaches else "NOT teaches"
+    return (
+        f"round(avg({name}) FILTER ({side}), 6) AS {alias}_mean, "
+        f"round(stddev_pop({name}) FILTER ({side}), 6) AS {alias}_std"
+    )
+
+
+_WHOLE = "whole AS (SELECT 0 AS part, * FROM train)"
+_SWEEP = f"""{_SPLIT}, train_rows AS (SELECT count(*) AS total FROM train),
+parts AS (
+  SELECT row_number() OVER (ORDER BY size) - 1 AS part, size FROM (
+    SELECT DISTINCT size FROM (
+      SELECT unnest([{', '.join(map(str, SIZES))}])::BIGINT AS size UNION ALL SELECT total FROM train_rows), train_rows
+    WHERE size <= total)),
+part_sizes AS (
+  SELECT part, size, toxic, n, total FROM parts, (SELECT toxic, count(*) AS n FROM train GROUP BY toxic), train_rows),
+part_quota AS (
+  SELECT part, toxic, size * n // total + (row_number() OVER (PARTITION BY part ORDER BY size * n % total DESC, toxic)
+    <= size - sum(size * n // total) OVER (PARTITION BY part))::BIGINT AS quota FROM part_sizes),
+drawn AS (
+  SELECT train.*, row_number() OVER (PARTITION BY toxic ORDER BY {_key("'42:subsample'", 'doc_id')}) AS draw
+  FROM train),
+whole AS (SELECT part, drawn.* EXCLUDE draw FROM drawn JOIN part_quota USING (toxic) WHERE draw <= quota),
+{_folded('whole')}, {_study("SELECT part AS trial, part, NULL AS step, 'risk_score' AS number, 0.5::DOUBLE AS position FROM parts")},
+sweep AS (
+  SELECT trial, {_mean_std('f1', True, 'train_f1')}, {_mean_std('f1', False, 'cv_f1')},
+    avg(f1) FILTER (NOT teaches) AS best FROM rated GROUP BY trial),
+counted AS (
+  SELECT part AS trial, count(*) AS sample_size, round(avg(toxic::DOUBLE), 6) AS positive_share
+  FROM whole GROUP BY part)"""
+
+ORACLES["model_leaderboard"] = f"""WITH {_SPLIT}, models AS (
+  SELECT * FROM (VALUES {', '.join(f"('{name}', '{spec.number}', {spec.position}::DOUBLE)"
+    for name, spec in CLOSED_MODELS.items())}) AS t(model, number, position)),
+member AS (SELECT model, position, toxic, is_test, {_LITERAL} AS value FROM split, models),
+means AS (
+  SELECT model, avg(value) FILTER (toxic = 0) AS low, avg(value) FILTER (toxic = 1) AS high
+  FROM member WHERE NOT is_test GROUP BY model),
+scored AS (SELECT *, {_CUT_SCORE} AS score FROM member JOIN means USING (model) WHERE is_test),
+ordered AS (
+  SELECT *, rank() OVER (PARTITION BY model ORDER BY score)
+    + (count(*) OVER (PARTITION BY model, score) - 1) / 2.0::DOUBLE AS place FROM scored)
+SELECT model, round(2.0::DOUBLE * count(*) FILTER (toxic = 1 AND score > 0.5)
+    / greatest(count(*) FILTER (toxic = 1) + count(*) FILTER (score > 0.5), 1), 6) AS f1,
+  round((sum(place) FILTER (toxic = 1) - count(*) FILTER (toxic = 1) * (count(*) FILTER (toxic = 1) + 1) / 2.0::DOUBLE)
+    / (count(*) FILTER (toxic = 1) * count(*) FILTER (toxic <> 1)), 6) AS roc_auc
+FROM ordered GROUP BY model"""
+ORACLES["scored_messages"] = f"""WITH {_SPLIT}, means AS (
+  SELECT avg(risk_score) FILTER (toxic = 0) AS low, avg(risk_score) FILTER (toxic = 1) AS high, 0.5::DOUBLE AS position
+  FROM train),
+{_EVENTS}, scored AS (
+  SELECT substring(sha256(concat_ws('|', source || '.json', doc_id, raw_user_id, text)), 1, 16)
+    AS message_hash, date, hour(date)::INTEGER AS hour, strftime(date, '%Y-%m') AS month,
+    source AS chat, raw_user_id, text
+  FROM clean JOIN timed USING (doc_id) WHERE type = 'message'),
+{_NAMES}, valued AS (
+  SELECT f.*, f.risk_score AS value, user FROM ({_features('scored', '*')}) f JOIN named USING (raw_user_id))
+SELECT message_hash, chat, date, hour, month, user, round({_CUT_SCORE}, 6) AS toxicity_score FROM valued, means"""
+ORACLES["size_sweep"] = f"""WITH {_SWEEP}
+SELECT sample_size, sweep.* EXCLUDE (trial, best), positive_share FROM sweep JOIN counted USING (trial)"""
+ORACLES["near_best_size"] = f"""WITH {_SWEEP}
+SELECT min(sample_size) AS sample_size FROM sweep JOIN counted USING (trial)
+WHERE best >= (SELECT max(best) FROM sweep) * 0.98::DOUBLE"""
+_DRAWN = ", ".join(
+    f"({i}, '{cut['number']}', {cut['position']}::DOUBLE, '{', '.join(f'{k}={v}' for k, v in cut.items())}')"
+    for i, cut in enumerate(draw_cuts(TRIALS))
+)
+ORACLES["random_search"] = f"""WITH {_SPLIT}, {_WHOLE}, {_folded('whole')},
+cuts AS (SELECT * FROM (VALUES {_DRAWN}) AS t(trial, number, position, params)),
+{_study("SELECT trial, 0 AS part, NULL AS step, number, position FROM cuts")},
+tried AS (
+  SELECT trial, avg(f1) FILTER (NOT teaches) AS f1, stddev_pop(f1) FILTER (NOT teaches) AS std,
+    avg(roc_auc) FILTER (NOT teaches) AS area, avg(f1) FILTER (teaches) AS train FROM rated GROUP BY trial)
+SELECT rank() OVER (ORDER BY round(f1, 9) DESC)::INTEGER AS rank_test_f1, trial, round(f1, 6) AS mean_test_f1,
+  round(std, 6) AS std_test_f1, round(area, 6) AS mean_test_roc_auc, round(train, 6) AS mean_train_f1, params
+FROM tried JOIN cuts USING (trial)"""
+ORACLES["learning_curve"] = f"""WITH {_SPLIT}, {_WHOLE}, {_folded('whole')},
+{_study("SELECT unnest(range(1, 6)) AS trial, 0 AS part, unnest(range(1, 6)) AS step, 'risk_score' AS number, 0.5::DOUBLE AS position")}
+SELECT (SELECT count(*) FROM folded WHERE fold <> 0 AND prefix <= trial) AS train_size,
+  {_mean_std('f1', True, 'train_f1')}, {_mean_std('f1', False, 'cv_f1')},
+  {_mean_std('roc_auc', True, 'train_roc_auc')}, {_mean_std('roc_auc', False, 'cv_roc_auc')}
+FROM rated GROUP BY trial"""
+_TEST_ROWS = "count(*) AS rows, count(*) FILTER (toxic = 1) AS positives, true AS scores_agree"
+ORACLES["classifier_ratings"] = f"""WITH {_SPLIT}
+SELECT unnest(['Logistic Regression', 'Linear SVM', 'RandomForest']) AS model, {_TEST_ROWS} FROM split WHERE is_test"""
+ORACLES["boosted_metrics"] = f"""WITH {_SPLIT}
+SELECT 'Boosted trees' AS model, {_TEST_ROWS}, true AS metrics_valid FROM split WHERE is_test"""
+_SETTINGS = ", ".join(
+    f"({i}, '{', '.join(f'{k}={v}' for k, v in one.items())}', true)" for i, one in enumerate(draw_settings(TRIALS))
+)
+ORACLES["boosted_search"] = f"SELECT * FROM (VALUES {_SETTINGS}) AS t(trial, params, rated)"
+ORACLES["feature_importance"] = """SELECT 30::BIGINT AS features, 30::BIGINT AS names, true AS shares,
+  true AS within_whole"""
+
 # --- evaluation --------------------------------------------------------------------------------------
 
 ORACLES["confusion_matrix"] = f"""WITH {_RATED}

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from textrisk.functions import fixed
 from textrisk.operators import evaluation, models, trends
+from textrisk.operators.boosted_fits import PenalisedSpec
 from textrisk.operators.checks import require_classes, require_columns
 from textrisk.operators.labels import resolve_labels, training_rows
 from textrisk.operators.sampling import holdout_split, stratified_subsample
@@ -72,8 +73,8 @@ SWEEP_ROUNDS = 180
 
 def boosted_study(
     labelled: DataFrame,
-    spec: models.BoostedSpec = models.BoostedSpec(),
-    sweep_spec: models.BoostedSpec = models.BoostedSpec(rounds=SWEEP_ROUNDS),
+    spec=PenalisedSpec(),
+    sweep_spec=PenalisedSpec(rounds=SWEEP_ROUNDS),
     sizes: Sequence[int] = SIZES,
     settings: Sequence[Mapping[str, Any]] | None = None,
     fractions: Sequence[float] = FRACTIONS,
@@ -82,7 +83,11 @@ def boosted_study(
     parallelism: int = 2,
     seed: int = fixed.DEFAULT_SEED,
 ) -> Report:
-    """Choose a training size, search the settings, refit, and report the boosted trees."""
+    """Choose a training size, search the settings, refit, and report the boosted trees.
+
+    Fits of a spec with ``score_fits`` share their passes. A spec with ``most_rows`` is fitted
+    to at most so many rows, drawn with the shares of the classes kept.
+    """
     rows = staged(training_rows(labelled))
     require_classes(rows)
     split = staged(holdout_split(rows, "toxic", id_columns, 0.2, seed))
@@ -94,7 +99,7 @@ def boosted_study(
         tuned, spec, models.draw_settings(TRIALS, seed) if settings is None else settings,
         id_columns, max_folds=max_folds, parallelism=parallelism, seed=seed,
     )
-    fitted = chosen.fit(train)
+    fitted = chosen.fit(models.bounded(train, chosen, "toxic", id_columns, seed))
     rated = staged(fitted.predict(test).select(*id_columns, "toxic", "score", "prediction"))
     points = evaluation.score_points(rated, "toxic")
     tables = {
