@@ -173,3 +173,17 @@ def test_array_sums_refuses_many_keys(spark):
     assert sums[0].tolist() == [10, 90] and sums[1].tolist() == [10, 100]
     with pytest.raises(ValueError):
         array_sums(frame, "k", "v", 10)
+
+
+def test_pages_are_drawn_by_their_number(spark):
+    """So many different pages teach, however many copies or pages there are."""
+    from pyspark.sql import functions as F
+
+    from textrisk.llm import html_text
+
+    page = "<html><body><nav>menu {0}</nav><article><p>{1} words of a long article {0}</p></article></body></html>"
+    rows = [(page.format(i, "many " * 20),) for i in range(40)] + [(page.format(0, "many " * 20),)] * 200
+    frame = spark.createDataFrame(rows, "html string").withColumn("page_id", F.lit(1))
+    assert html_text.fit_node_trees(frame, 10, 2, 2) is not None
+    assert html_text.fit_node_trees(frame, 1, 2, 2) is not None  # one page of any number of them
+    assert html_text.fit_node_trees(frame.where("false"), 10, 2, 2) is None

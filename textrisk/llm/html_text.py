@@ -408,12 +408,17 @@ def _training_rows(batches):
 def fit_node_trees(
     pages: DataFrame, training_pages: int = TRAINING_PAGES, trees: int = 20, depth: int = 4
 ) -> NodeTrees | None:
-    """Fit on the nodes of about ``training_pages`` pages, drawn by a hash of the page; None if
-    they do not show both classes."""
+    """Fit on the nodes of ``training_pages`` different pages, those with the smallest hashes;
+    None if they do not show both classes."""
     small_batches(pages.sparkSession)
     sources = pages.select(F.col("html").cast("string").alias("html")).where("html is not null")
-    share = min(1.0, training_pages / max(sources.count(), 1))
-    drawn = sources.where(F.pmod(F.xxhash64("html"), F.lit(1_000_000)) < int(share * 1_000_000))
+    # Different pages, by the order of their hashes: copies of a page count once, and so many
+    # are drawn whatever number there is. Only hashes are put in order.
+    hashes = sources.select(F.xxhash64("html").alias("hash")).distinct()
+    first = hashes.orderBy("hash").limit(training_pages).agg(F.max("hash")).first()[0]
+    drawn = sources.where(F.xxhash64("html") <= F.lit(first)).groupBy(F.xxhash64("html").alias("hash")).agg(
+        F.min("html").alias("html")
+    ).select("html")
     rows = staged(drawn.mapInArrow(_training_rows, "label double, features array<double>"))
     if rows.select("label").distinct().count() < 2:
         return None
