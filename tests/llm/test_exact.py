@@ -372,3 +372,13 @@ def test_mix_of_empty_tables(spark):
     assert mixing.mix_sources(spark.createDataFrame([], schema)).count() == 0
     assert mixing.mix_sources(spark.createDataFrame([(1, "a", None)], schema)).count() == 0
     assert mixing.mix_sources(spark.createDataFrame([(1, "a", "x y")], schema)).count() == 1
+
+
+def test_records_are_read_by_several_tasks(spark, tmp_path):
+    pages = spark.range(400).select(
+        F.col("id").alias("page_id"), F.lit("u").alias("url"), F.expr("repeat(sha2(string(id), 512), 60)").alias("html")
+    )
+    index = warc.write_archives(pages.repartition(6), str(tmp_path / "a"))
+    read = warc.read_records(index, str(tmp_path / "a"), range_bytes=20_000, task_bytes=20_000)
+    assert read.rdd.getNumPartitions() > 4
+    assert read.count() == 400

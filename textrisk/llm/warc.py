@@ -30,6 +30,9 @@ from textrisk.session import staged
 ARCHIVE_BYTES = 256 << 20
 #: Ranges of at most this distance are read together, up to this many bytes.
 READ_GAP = 64 << 10
+#: Compressed bytes of a reading task: about, and at least while there are cores without work.
+TASK_BYTES = 64 << 20
+LEAST_TASK_BYTES = 1 << 20
 READ_BYTES = 8 << 20
 
 _REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -226,17 +229,23 @@ def _read_rows(batches, folder: str, schema: pa.Schema):
         stream.close()
 
 
-def read_records(selected: DataFrame, folder: str, range_bytes: int = 64 << 20) -> DataFrame:
+def read_records(
+    selected: DataFrame, folder: str, range_bytes: int = 64 << 20, task_bytes: int = TASK_BYTES
+) -> DataFrame:
     """The records that the index rows ``selected`` name, by sorted and joined range reads.
 
     Ranges of one archive are dealt into stretches of ``range_bytes``, so a large archive is
-    read by many tasks and each stretch is read forwards.
+    read by many tasks and each stretch is read forwards. A task reads about ``task_bytes``.
     """
     schema = _arrow_schema(selected.sparkSession, RECORD)
     places = selected.select("archive", "offset", "length").withColumn(
         "stretch", F.floor(F.col("offset") / range_bytes)
     )
-    dealt = places.repartition("archive", "stretch").sortWithinPartitions("archive", "offset")
+    # By bytes to read, with a number: the rows themselves are too narrow to be dealt by their size.
+    wanted = places.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+    cores = selected.sparkSession.sparkContext.defaultParallelism
+    tasks = max(-(-wanted // task_bytes), min(cores, -(-wanted // LEAST_TASK_BYTES)), 1)
+    dealt = places.repartition(tasks, "archive", "stretch").sortWithinPartitions("archive", "offset")
     return dealt.drop("stretch").mapInArrow(
         lambda batches: _read_rows(batches, folder, schema), RECORD
     )
