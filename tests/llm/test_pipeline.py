@@ -112,3 +112,51 @@ def test_benchmark_items_without_id_are_searched(spark):
     docs = spark.createDataFrame([(1, f"a {words} b", "en", "s", 1), (2, "other", "en", "s", 1)], DOCUMENTS)
     items = spark.createDataFrame([(None, words), (1, None), (None, None)], "item_id bigint, text string")
     assert [r.doc_id for r in remove_overlapping(docs, items).collect()] == [2]
+
+
+CLASHES = (
+    "rest passes key _key block planned cut taken before _before tokens _source _text _row_key _spans spans row_key "
+    "plain base terms _copy copy _repeated repeated _text_key text_key stands a.b _0 _1 _2 mix_tokens_"
+).split()
+
+
+def clashing(spark, rows, ids="doc_id bigint, source string, text string"):
+    """Rows with a column of every name that the stages use or have used."""
+    names = [name.strip().split(" ")[0] for name in ids.split(",")]
+    frame = spark.createDataFrame([(*row, *[f"{name} of {row[0]}" for name in CLASHES]) for row in rows], (
+        ids + "".join(f", `{name}` string" for name in CLASHES)
+    ))
+    return frame, [*names, *CLASHES]
+
+
+@pytest.mark.parametrize("stage", ["near_copies", "personal_data", "mixing"])
+def test_columns_of_any_name_keep_their_values(spark, stage):
+    said = "write to jane.doe@example.org or call +1 555 010 9999 today please"
+    rows = [(i, "ab"[i % 2], f"{said} {'x' * (i // 2)} number {i}") for i in range(12)]
+    rows += [(20 + i, "a", rows[0][2]) for i in range(3)]
+    frame, names = clashing(spark, rows)
+    out = dict(corpus_pipeline.STAGES)[stage](spark, frame, FOLDER)
+    assert out.columns[: len(names)] == names
+    found = out.collect()
+    assert found
+    for row in found:
+        assert tuple(row[3 : len(names)]) == tuple(f"{name} of {row[0]}" for name in CLASHES)
+        if stage == "personal_data":
+            assert not any("jane.doe@" in str(value) for value in row)
+    if stage == "near_copies":
+        groups = brute_components([(row[0], row[2]) for row in rows], 5, 80)
+        assert sorted(row[0] for row in found) == sorted(d for d, _, component in groups if d == component)
+
+
+def test_a_source_with_one_hot_block(spark, monkeypatch):
+    """Keys that share their first digits, as in a source of many billion documents."""
+    from textrisk.llm import mixing
+
+    from .test_exact import brute_mix
+
+    rows = [(i, "ab"[i % 3 == 0], "w " * (1 + i % 5)) for i in range(500)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, source string, text string")
+    monkeypatch.setattr(mixing, "_BLOCK_DIGITS", 1)  # sixteen blocks, cut up again and again
+    found = mixing.mix_sources(frame, MixTarget(0.9, 4.0, 0.7)).collect()
+    expected = {(d, e) for d, _, e, *_ in brute_mix(rows, MixTarget(0.9, 4.0, 0.7))}
+    assert {(r.doc_id, r.mix_epoch) for r in found} == expected and len(found) == len(expected)

@@ -6,8 +6,8 @@ largest that reaches a target entropy, then raised, if need be, until no source
 more often than allowed. Weights times the token budget give each source's budget. A source is
 given out in whole passes, then in a permutation of its documents up to the rest of its
 budget. The permutation goes by blocks: documents are dealt into blocks by a seeded hash; whole
-blocks are taken as long as their sums fit, and only the block that the budget ends in is put
-in order.
+blocks are taken as long as their sums fit, and the block that the budget ends in is cut into
+blocks again, until the cut is a single key.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from textrisk.llm.columns import numbered
 from textrisk.session import staged
 
 #: Steps of the exponent's grid from 0 to 1, and cuts of an interval in one pass.
@@ -134,50 +135,67 @@ def mix_sources(documents: DataFrame, target: MixTarget = MixTarget()) -> DataFr
     """
     added = ("mix_epoch", "mix_block", "mix_tokens")
     rows = documents.drop(*added)
-    narrow = staged(rows.select("doc_id", "source", token_count().alias("tokens")))
-    plan, _ = source_plan(narrow, target)
-    plan = plan.select(F.col("source").alias("_source"), "passes", "rest")
+    own, place = numbered(rows)
+    doc_id, source = place("doc_id"), place("source")
+    own = own.withColumn("mix_tokens", token_count(place("text")))
+    narrow = staged(own.select(doc_id, source, "mix_tokens"))
+    plan, _ = source_plan(narrow.select(F.col(source).alias("source"), F.col("mix_tokens").alias("tokens")), target)
+    plan = plan.select(F.col("source").alias("planned"), "passes", "rest")
 
     def keyed(df: DataFrame) -> DataFrame:
-        """With the plan of its source and the permutation key of the last pass."""
-        joined = df.join(plan, df["source"].eqNullSafe(plan["_source"])).drop("_source")
+        """With the plan of its source, the permutation key of the last pass and its block."""
+        joined = df.join(plan, df[source].eqNullSafe(plan["planned"])).drop("planned")
         name = F.concat_ws(
-            ":", F.lit(target.seed), "passes", F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+            ":", F.lit(target.seed), "passes", F.coalesce(F.col(doc_id).cast("string"), F.lit(""))
         )
-        return joined.withColumn("_key", F.md5(name.cast("binary")))
-
-    block = F.substring("_key", 1, _BLOCK_DIGITS)
-    sums = keyed(narrow).groupBy("source", block.alias("block")).agg(
-        F.sum("tokens").alias("tokens"), F.first("rest").alias("rest")
-    )
-    upto = Window.partitionBy("source").orderBy("block")
-    running = sums.withColumn("upto", F.sum("tokens").over(upto))
-    cuts = staged(
-        running.where("upto > rest")
-        .groupBy("source")
-        .agg(F.min("block").alias("_cut"), F.min(F.col("upto") - F.col("tokens")).alias("_before"))
-        .withColumnRenamed("source", "_source")
-    )
-    dealt = keyed(rows.withColumn("mix_tokens", token_count()))
-    dealt = dealt.join(cuts, dealt["source"].eqNullSafe(cuts["_source"]), "left").drop("_source")
-    dealt = dealt.withColumn("mix_block", F.conv(block, 16, 10).cast("int"))
-    whole = F.col("_cut").isNull() | (block < F.col("_cut"))
-    last = F.when(whole, F.array(F.col("passes"))).otherwise(
+        keyed_ = joined.withColumn("key", F.md5(name.cast("binary")))
+        return keyed_.withColumn("block", F.substring("key", 1, _BLOCK_DIGITS))
+
+    keys = keyed(narrow).select(F.col(source).alias("source"), "rest", "key", "mix_tokens")
+    cuts = _cuts(staged(keys)).withColumnRenamed("source", "planned")
+    dealt = keyed(own)
+    dealt = dealt.join(cuts, dealt[source].eqNullSafe(cuts["planned"]), "left").drop("planned")
+    dealt = dealt.withColumn("mix_block", F.conv("block", 16, 10).cast("int"))
+    # Keys are hexadecimal and compare like text; a cut is the first key that is not taken.
+    last = F.when(F.col("cut").isNull() | (F.col("key") < F.col("cut")), F.array(F.col("passes"))).otherwise(
         F.array().cast("array<bigint>")
     )
     before = F.when(
         F.col("passes") > 0, F.sequence(F.lit(0).cast("bigint"), F.col("passes") - 1)
     ).otherwise(F.array().cast("array<bigint>"))
     taken = dealt.withColumn("mix_epoch", F.explode(F.concat(before, last)))
-    # Only the block in which the budget ends is put in order.
-    inside = Window.partitionBy("source").orderBy("_key").rangeBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    ended = (
-        dealt.where(block == F.col("_cut"))
-        .withColumn("_upto", F.sum("mix_tokens").over(inside) + F.col("_before"))
-        .where(F.col("_upto") <= F.col("rest"))
-        .withColumn("mix_epoch", F.col("passes"))
-    )
-    columns = [*rows.columns, *added]
-    return taken.select(*columns).unionByName(ended.select(*columns))
+    columns = [f"_{i}" for i in range(len(rows.columns))]
+    return taken.select(*columns, *added).toDF(*rows.columns, *added)
+
+
+def _cuts(keys: DataFrame) -> DataFrame:
+    """Per ``source`` the first ``key`` of the permutation that no more fits into its ``rest``;
+    none if all do. ``keys`` has them with ``mix_tokens``, without texts.
+
+    The keys are cut into blocks by their first digits, and the block in which the budget ends
+    again by the next ones, until a block is one key: sums of one block per source move, and
+    no source or block has to be put in order.
+    """
+    digits, length = _BLOCK_DIGITS, 32  # of an md5
+    taken = F.lit(0).cast("bigint").alias("taken")
+    open_ = keys.select("source", "rest", "key", F.col("mix_tokens").alias("tokens"), taken)
+    found = None
+    while True:
+        head = F.substring("key", 1, digits)
+        sums = open_.groupBy("source", head.alias("head")).agg(
+            F.sum("tokens").alias("tokens"), F.first("rest").alias("rest"), F.first("taken").alias("taken"),
+            F.min("key").alias("first"), (F.min("key") == F.max("key")).alias("single"),
+        )
+        # A few thousand blocks per source.
+        upto = F.sum("tokens").over(Window.partitionBy("source").orderBy("head"))
+        over = sums.withColumn("upto", upto + F.col("taken")).where("upto > rest")
+        end = F.struct("head", "first", "single", (F.col("upto") - F.col("tokens")).alias("before"))
+        ends = staged(over.groupBy("source").agg(F.min(end).alias("end")))
+        single = ends.where("end.single").select("source", F.col("end.first").alias("cut"))
+        found = single if found is None else found.unionByName(single)
+        wide = ends.where("not end.single").select(F.col("source").alias("ended"), "end.head", "end.before")
+        if digits >= length or wide.isEmpty():
+            return found
+        inside = open_.join(wide, open_["source"].eqNullSafe(wide["ended"]) & (head == F.col("head")))
+        open_ = staged(inside.select("source", "rest", "key", "tokens", F.col("before").alias("taken")))
+        digits = min(digits + _BLOCK_DIGITS, length)

@@ -3,16 +3,15 @@
 Texts fall into pieces at punctuation and line breaks, pieces into words. Prefix polynomials over
 the hashes of a slice's words give the fingerprint of the phrase at every place. Phrases are
 counted by size: one of ``n`` words is counted only where both its parts of ``n - 1`` words are
-frequent, as a phrase is never more frequent than its parts. A task counts fingerprints before
-they are shuffled; the sums tell which fingerprints are frequent.
-
-What is frequent is told to the next pass by a bit filter of bounded size. It lets through every
-frequent fingerprint and a few others; one too small for its entries lets through more.
-
-The last pass goes by text. It keeps one occurrence of each frequent fingerprint of a slice,
-compares all others with it word by word, so that phrases that share a fingerprint are told
-apart, and hands out the counts with the phrase itself. So the sums are those of phrases, and a
-collision costs time only.
+frequent, as a phrase is never more frequent than its parts. What is frequent is told to the next
+pass by a bit filter of bounded size. It lets through every frequent fingerprint and a few others;
+one too small for its entries lets through more.
+
+A task counts fingerprints before they are shuffled. With each goes an occurrence pointer (a
+number of its text; the smallest is kept) and a few bits of a second hash. Phrases are read from
+the texts that the pointers of frequent fingerprints name, and nowhere else. A fingerprint whose
+second hashes or phrases differ belongs to several phrases: its occurrences are counted again by
+their text.
 """
 
 from __future__ import annotations
@@ -49,10 +48,13 @@ CHUNK_BYTES = 2 << 20
 # Fingerprints, or phrases, that a task collects before it hands them on.
 _BUFFER = 1 << 21
 _PHRASES = 1 << 18
-#: Bits of a filter: per entry, and at most (16 MB). Blocks of it come to the driver one by one.
+#: Bits of a filter: per entry, and at most (16 MB). The driver gets it in blocks.
 FILTER_BITS = 16
 MOST_BITS = 1 << 27
 _BLOCK = 19
+_PROBES = (np.uint64(0), np.uint64(18), np.uint64(36))
+# A count, bits of a second hash and a pointer share one number.
+_COUNT_BITS, _CHECK_BITS, _POINTER_BITS = 22, 16, 25
 
 _BREAKS = frozenset(b".,;:!?\n\x0b\x0c\r")
 _IS_BREAK = np.array([b in _BREAKS for b in range(256)])
@@ -86,13 +88,15 @@ def chunks(data: np.ndarray, bounds: np.ndarray, size: int = CHUNK_BYTES) -> Ite
 
 @dataclass(frozen=True)
 class Pieces:
-    """Words of a chunk, each one's text, and a number that differs from piece to piece."""
+    """Words of a chunk, each one's text, a number that differs from piece to piece, the number
+    of its language, and the pointer, a number that equal texts (or parts of a text) share."""
 
     data: np.ndarray
     words: Words
     text: np.ndarray
     piece: np.ndarray
     language: np.ndarray
+    pointer: np.ndarray
 
     def places(self, size: int) -> np.ndarray:
         """Words at which a phrase of so many words begins."""
@@ -108,7 +112,9 @@ def cut_pieces(data: np.ndarray, cuts: np.ndarray, texts: np.ndarray, languages:
     part = np.repeat(np.arange(len(texts)), np.diff(words.first))
     breaks = np.cumsum(_IS_BREAK[data])
     text = texts[part]
-    return Pieces(data, words, text, breaks[words.starts] + part, languages[text])
+    sums = np.append(np.uint64(0), np.cumsum(words.hashes))
+    pointers = mix(sums[words.first[1:]] - sums[words.first[:-1]]) >> np.uint64(64 - _POINTER_BITS)
+    return Pieces(data, words, text, breaks[words.starts] + part, languages[text], pointers[part])
 
 
 def language_code(name: str) -> np.uint64:
@@ -126,62 +132,75 @@ class Fingerprints:
         self.pieces, self.bits = pieces, np.uint64((1 << bits) - 1)
         hashes = pieces.words.hashes & self.bits
         self.power, self.inverse = _power_tables(len(hashes) + 1)
-        self.sums = np.zeros(len(hashes) + 1, np.uint64)
-        np.cumsum(hashes * self.power[: len(hashes)], out=self.sums[1:])
+        self.sums = self._prefix(hashes)
         self.codes = codes[pieces.language]
 
+    def _prefix(self, hashes: np.ndarray) -> np.ndarray:
+        return np.append(np.uint64(0), np.cumsum(hashes * self.power[: len(hashes)]))
+
+    def _at(self, sums: np.ndarray, places: np.ndarray, size: int) -> np.ndarray:
+        plain = (sums[places + size] - sums[places]) * self.inverse[places]
+        return mix(mix(plain + np.uint64(size)) + self.codes[places])
+
     def at(self, places: np.ndarray, size: int) -> np.ndarray:
-        plain = (self.sums[places + size] - self.sums[places]) * self.inverse[places]
-        return mix(mix(plain + np.uint64(size)) + self.codes[places]) & self.bits
+        return self._at(self.sums, places, size) & self.bits
+
+    def checks(self, places: np.ndarray, size: int) -> np.ndarray:
+        """A few bits of a second fingerprint."""
+        second = self._prefix(mix(~self.pieces.words.hashes))
+        return self._at(second, places, size) >> np.uint64(64 - _CHECK_BITS)
 
 
 @dataclass(frozen=True)
 class BitFilter:
-    """Two bits per entry. Every entry is found, others seldom while there is room."""
+    """Three bits per entry. Every entry is found, others seldom while there is room."""
 
     bits: np.ndarray
-    size: int
 
     def has(self, values: np.ndarray) -> np.ndarray:
         found = np.ones(len(values), bool)
-        for place in (values, values >> np.uint64(32)):
-            place = (place & np.uint64(self.size - 1)).astype(np.int64)
+        for place in _filter_places(values, 8 * len(self.bits)):
             found &= (self.bits[place >> 3] >> (place & 7).astype(np.uint8)) & 1 > 0
         return found
 
 
-def bit_filter(entries: DataFrame, column: str, most_bits: int = MOST_BITS) -> BitFilter:
-    """A filter of the 64-bit numbers in a staged column. Each task fills whole blocks of it; the
-    driver gets the filter, never the entries."""
-    wanted = entries.count() * FILTER_BITS
+def _filter_places(values: np.ndarray, size: int) -> list[np.ndarray]:
+    spread = mix(values)
+    return [((spread >> shift) & np.uint64(size - 1)).astype(np.int64) for shift in _PROBES]
+
+
+def bit_filter(entries: DataFrame, most_bits: int = MOST_BITS) -> BitFilter:
+    """A filter of the 64-bit numbers of a staged frame of one column. Each task fills whole
+    blocks of it; the driver gets the filter, never the entries."""
+    wanted = max(entries.count(), 1) * FILTER_BITS
     size = min(1 << max(_BLOCK, (wanted - 1).bit_length()), most_bits)
-    # A shift by 32 alone would bring in the sign; the mask cuts it off.
-    places = F.explode(
-        F.array(*[part.bitwiseAND(F.lit(size - 1)) for part in (F.col(column), F.shiftright(column, 32))])
-    )
-    block = F.shiftright("place", _BLOCK)
-    count = max(size >> _BLOCK, 1)
-    dealt = entries.select(places.alias("place")).select(block.alias("block"), "place")
+
+    def deal(batches):
+        for batch in batches:
+            values = batch.column(0).to_numpy().view(np.uint64)
+            places = np.concatenate(_filter_places(values, size))
+            columns = [pa.array(places >> _BLOCK), pa.array(places)]
+            yield pa.RecordBatch.from_arrays(columns, ["block", "place"])
 
     def fill(batches):
         blocks: dict[int, np.ndarray] = {}
         for batch in batches:
-            numbers, offsets = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
-            for number in np.unique(numbers):
-                if number not in blocks:
-                    blocks[number] = np.zeros(min(1 << _BLOCK, size), bool)
-                blocks[number][offsets[numbers == number] & ((1 << _BLOCK) - 1)] = True
+            numbers, places = (batch.column(i).to_numpy() for i in (0, 1))
+            for number in np.unique(numbers).tolist():
+                marks = blocks.setdefault(number, np.zeros(min(1 << _BLOCK, size), bool))
+                marks[places[numbers == number] & ((1 << _BLOCK) - 1)] = True
         for number, marks in blocks.items():
             packed = np.packbits(marks, bitorder="little").tobytes()
             yield pa.RecordBatch.from_pydict({"block": [number], "marks": [packed]})
 
-    filled = dealt.repartition(min(count, 64), "block").mapInArrow(fill, "block bigint, marks binary")
-    bits = np.zeros(max(size >> 3, 1), np.uint8)
+    dealt = entries.mapInArrow(deal, "block bigint, place bigint")
+    parts = min(max(size >> _BLOCK, 1), 64)
+    filled = dealt.repartition(parts, "block").mapInArrow(fill, "block bigint, marks binary")
+    bits = np.zeros(size >> 3, np.uint8)
     for row in filled.collect():  # most_bits / 8 bytes together
-        part = np.frombuffer(row.marks, np.uint8)
         begin = row.block << (_BLOCK - 3)
-        bits[begin : begin + len(part)] |= part
-    return BitFilter(bits, size)
+        bits[begin : begin + len(row.marks)] |= np.frombuffer(row.marks, np.uint8)
+    return BitFilter(bits)
 
 
 def _read(batch, bits: int, chunk_bytes: int) -> Iterator[tuple[Pieces, Fingerprints, list[str]]]:
@@ -207,30 +226,64 @@ def _candidates(prints: Fingerprints, size: int, known: BitFilter | None) -> np.
 
 def _count_prints(batches, size: int, known, bits: int, chunk_bytes: int):
     filter_ = known.value if known is not None else None
-    buffer: list[np.ndarray] = []
-    held = 0
+    held: list[tuple[np.ndarray, ...]] = []
+    room = _BUFFER
 
     def combined():
-        values, counts = np.unique(np.concatenate(buffer), return_counts=True)
-        buffer.clear()
+        values, checks, pointers = (np.concatenate(column) for column in zip(*held))
+        held.clear()
+        # One row for equal fingerprints; those whose second hash differs keep rows of their own.
+        values, first, number, counts = np.unique(
+            values, return_index=True, return_inverse=True, return_counts=True
+        )
+        other = np.flatnonzero(checks != checks[first][number])
+        counts -= np.bincount(number[other], minlength=len(values))
+        values = np.concatenate([values, values[number[other]]])
+        kept = np.concatenate([first, other])
+        rest = checks[kept] | pointers[kept] << np.uint64(_CHECK_BITS)
+        counts = np.concatenate([counts, np.ones(len(other), np.int64)])
+        most = (1 << _COUNT_BITS) - 1
+        again = counts // most + (counts % most > 0)  # rows for one fingerprint, mostly one
+        if (again != 1).any():
+            index = np.repeat(np.arange(len(counts)), again)
+            last = np.append(index[1:] != index[:-1], True)
+            counts = np.where(last, counts[index] - most * (again[index] - 1), most)
+            values, rest = values[index], rest[index]
+        packed = rest << np.uint64(_COUNT_BITS) | counts.astype(np.uint64)
         for begin in range(0, len(values), 1 << 16):
-            part = slice(begin, begin + (1 << 16))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(values[part].view(np.int64)), pa.array(counts[part])], ["print", "n"]
-            )
+            columns = [pa.array(c[begin : begin + (1 << 16)].view(np.int64)) for c in (values, packed)]
+            yield pa.RecordBatch.from_arrays(columns, ["print", "packed"])
 
     for batch in batches:
-        for _, prints, _ in _read(batch, bits, chunk_bytes):
-            found = prints.at(_candidates(prints, size, filter_), size)
-            buffer.append(found)
-            held += len(found)
-            if held >= _BUFFER:
+        for pieces, prints, _ in _read(batch, bits, chunk_bytes):
+            places = _candidates(prints, size, filter_)
+            held.append((prints.at(places, size), prints.checks(places, size), pieces.pointer[places]))
+            room -= len(places)
+            if room <= 0:
                 yield from combined()
-                held = 0
-    if buffer:
+                room = _BUFFER
+    if held:
         yield from combined()
 
 
+def _summed(counted: DataFrame, least: int) -> DataFrame:
+    """``print``, ``n``, ``pointer``, and whether different second hashes ``clash``."""
+    count = F.col("packed").bitwiseAND(F.lit((1 << _COUNT_BITS) - 1))
+    check = F.shiftright("packed", _COUNT_BITS).bitwiseAND(F.lit((1 << _CHECK_BITS) - 1))
+    # Tasks have counted already: dealt by fingerprint first, rows are not hashed a second time.
+    sums = counted.repartition("print").groupBy("print").agg(
+        F.sum(count).alias("n"),
+        F.min(F.shiftright("packed", _COUNT_BITS + _CHECK_BITS)).alias("pointer"),
+        (F.min(check) < F.max(check)).alias("clash"),
+    )
+    return sums.where(F.col("n") >= least)
+
+
+def _pointed(values: np.ndarray, pointers: np.ndarray) -> np.ndarray:
+    """A number for a fingerprint in a text."""
+    return mix(values) + pointers
+
+
 def _exact_words(pieces: Pieces, bits: np.uint64) -> np.ndarray:
     """A number per word that is the same for equal words only: each word is compared, byte by
     byte, with the first one of its hash."""
@@ -252,13 +305,18 @@ def _exact_words(pieces: Pieces, bits: np.uint64) -> np.ndarray:
     )
 
 
-def _count_phrases(batches, filters, most_words: int, bits: int, chunk_bytes: int, schema):
-    known = filters.value
+_PHRASE_ROWS = "print bigint, lang string, size int, phrase string, n bigint"
+
+
+def _read_phrases(batches, filters, chosen, with_pointer: bool, bits: int, chunk_bytes: int, schema):
+    """The phrases whose fingerprint is ``chosen`` (with the pointer of the text they stand in,
+    if ``with_pointer``) and how often each is there; with size 0 each language's words."""
+    known, wanted = filters.value, chosen.value
     found: Counter = Counter()
 
     def rows():
         keys = list(found)
-        columns = [[key[i] for key in keys] for i in range(3)] + [[found[key] for key in keys]]
+        columns = [[key[i] for key in keys] for i in range(4)] + [[found[key] for key in keys]]
         found.clear()
         yield pa.RecordBatch.from_arrays(
             [pa.array(c, t) for c, t in zip(columns, schema.types)], schema=schema
@@ -269,18 +327,21 @@ def _count_phrases(batches, filters, most_words: int, bits: int, chunk_bytes: in
             if not len(pieces.text):
                 continue
             for language, count in enumerate(np.bincount(pieces.language).tolist()):
-                found[names[language], 0, ""] += count
+                found[0, names[language], 0, ""] += count
             exact = _exact_words(pieces, prints.bits)
             raw = _LOWERED[pieces.data].tobytes()
-            starts, ends = pieces.words.starts.tolist(), pieces.words.ends.tolist()
+            starts, ends = pieces.words.starts, pieces.words.ends
 
-            def phrase(place: int, size: int) -> str:
-                return b" ".join(raw[starts[i] : ends[i]] for i in range(place, place + size)).decode()
+            def add(place: int, value: int, size: int, count: int) -> None:
+                words = range(place, place + size)
+                phrase = b" ".join(raw[starts[i] : ends[i]] for i in words).decode()
+                found[value, names[pieces.language[place]], size, phrase] += count
 
-            for size in range(1, most_words + 1):
+            for size in range(1, len(known) + 1):
                 places = _candidates(prints, size, known[size - 2] if size > 1 else None)
                 values = prints.at(places, size)
-                inside = known[size - 1].has(values)
+                marked = _pointed(values, pieces.pointer[places]) if with_pointer else values
+                inside = known[size - 1].has(values) & wanted.has(marked)
                 places, values = places[inside], values[inside]
                 _, first, number = np.unique(values, return_index=True, return_inverse=True)
                 model = places[first]
@@ -288,19 +349,17 @@ def _count_phrases(batches, filters, most_words: int, bits: int, chunk_bytes: in
                 for step in range(size):
                     same &= exact[places + step] == exact[model + step][number]
                 counts = np.bincount(number[same], minlength=len(model))
-                for place, count in zip(model.tolist(), counts.tolist()):
-                    found[names[pieces.language[place]], size, phrase(place, size)] += count
-                for place in places[~same].tolist():  # collisions
-                    found[names[pieces.language[place]], size, phrase(place, size)] += 1
+                whole = values.view(np.int64)
+                for place, value, count in zip(model.tolist(), whole[first].tolist(), counts.tolist()):
+                    add(place, value, size, count)
+                for place, value in zip(places[~same].tolist(), whole[~same].tolist()):  # collisions
+                    add(place, value, size, 1)
             if len(found) >= _PHRASES:
                 yield from rows()
     if found:
         yield from rows()
 
 
-PHRASE_COUNTS = "lang string, size int, phrase string, n bigint"
-
-
 def phrase_counts(
     documents: DataFrame,
     least: int = LEAST_COUNT,
@@ -315,31 +374,64 @@ def phrase_counts(
     each language's number of words.
 
     Needs ``lang`` and ``text``. Null languages are ``und``, null texts empty; further columns
-    are ignored; repeated rows count as often as they are there.
+    are ignored; repeated rows count as often as they are there. Different phrases are told
+    apart by 80 bits of two hashes, and by their text where it is read.
     """
     spark = documents.sparkSession
     small_batches(spark)
     name = F.coalesce(F.col("lang").cast("string"), F.lit(UNKNOWN))
     texts = documents.select(name.alias("lang"), F.col("text").cast("string").alias("text"))
-    known, filters = None, []
+    known, filters, levels = None, [], []
     for size in range(1, most_words + 1):
         counted = texts.mapInArrow(
             lambda batches, size=size, known=known: _count_prints(batches, size, known, bits, chunk_bytes),
-            "print bigint, n bigint",
+            "print bigint, packed bigint",
         )
-        # Tasks have counted already: dealt by fingerprint first, rows are not hashed a second time.
-        sums = counted.repartition("print").groupBy("print").agg(F.sum("n").alias("n"))
-        filters.append(bit_filter(staged(sums.where(F.col("n") >= least).select("print")), "print", most_bits))
+        level = staged(_summed(counted, least))
+        filters.append(bit_filter(level.select("print"), most_bits))
+        levels.append(level.withColumn("size", F.lit(size)))
         known = spark.sparkContext.broadcast(filters[-1])
     every = spark.sparkContext.broadcast(filters)
     schema = pa.schema(
-        [("lang", pa.string()), ("size", pa.int32()), ("phrase", pa.string()), ("n", pa.int64())]
+        [("print", pa.int64()), ("lang", pa.string()), ("size", pa.int32()), ("phrase", pa.string()),
+         ("n", pa.int64())]
     )
-    rows = texts.mapInArrow(
-        lambda batches: _count_phrases(batches, every, most_words, bits, chunk_bytes, schema), PHRASE_COUNTS
+    frequent = levels[0]
+    for level in levels[1:]:
+        frequent = frequent.unionByName(level)
+
+    def read(chosen: DataFrame, with_pointer: bool) -> DataFrame:
+        wanted = spark.sparkContext.broadcast(bit_filter(chosen, most_bits))
+        return texts.mapInArrow(
+            lambda batches: _read_phrases(batches, every, wanted, with_pointer, bits, chunk_bytes, schema),
+            _PHRASE_ROWS,
+        )
+
+    def mark(batches):
+        for batch in batches:
+            values, pointers = (batch.column(i).to_numpy().view(np.uint64) for i in (0, 1))
+            yield pa.RecordBatch.from_arrays([pa.array(_pointed(values, pointers).view(np.int64))], ["mark"])
+
+    marks = staged(frequent.where("not clash").select("print", "pointer").mapInArrow(mark, "mark bigint"))
+    rows = read(marks, True).groupBy("print", "size", "lang", "phrase")
+    texted = staged(rows.agg(F.sum("n").alias("words")))
+    one = texted.where("size > 0").groupBy("print", "size").agg(
+        F.min(F.struct("lang", "phrase")).alias("low"), F.max(F.struct("lang", "phrase")).alias("high")
     )
-    summed = rows.groupBy("lang", "size", "phrase").agg(F.sum("n").alias("n"))
-    return staged(summed.where((F.col("n") >= least) | (F.col("size") == 0)))
+    # A fingerprint without a phrase would be counted by text, too.
+    clash = F.coalesce(F.col("clash") | (F.col("low") != F.col("high")), F.lit(True))
+    found = staged(frequent.join(one, ["print", "size"], "left").withColumn("clash", clash))
+    counts = found.where("not clash").select("low.lang", "size", "low.phrase", "n")
+    totals = texted.where("size = 0").groupBy("lang", "size", "phrase").agg(F.sum("words").alias("n"))
+    counts = counts.unionByName(totals)
+    clashes = found.where("clash").select("print", "size")
+    if not clashes.isEmpty():
+        again = read(staged(clashes.select("print")), False).where("size > 0")
+        # A filter lets others through, whose phrases are counted already.
+        again = again.join(clashes, ["print", "size"], "left_semi")
+        summed = again.groupBy("lang", "size", "phrase").agg(F.sum("n").alias("n"))
+        counts = counts.unionByName(summed.where(F.col("n") >= least))
+    return staged(counts)
 
 
 def _part(first: Column, count: Column) -> Column:

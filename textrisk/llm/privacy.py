@@ -23,6 +23,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from textrisk.llm.columns import numbered
 from textrisk.operators.lookups import BROADCAST_ROWS
 from textrisk.session import staged
 
@@ -280,27 +281,28 @@ def sanitise(documents: DataFrame, limits: Disclosure = Disclosure()) -> DataFra
     """``documents`` with every span in ``text`` replaced by the placeholder of its kind, and
     ``n_chars``, if there is such a column, counted anew. Overlapping spans become one
     placeholder, of the kind that begins first. A null text stays null."""
-    marked = documents.withColumn("_text", F.coalesce(F.col("text").cast("string"), F.lit("")))
-    source = documents.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    own, place = numbered(documents)
+    doc_id, text = place("doc_id"), place("text")
+    marked = own.withColumn("plain", F.coalesce(F.col(text).cast("string"), F.lit("")))
+    source = marked.select(F.col(doc_id).alias("doc_id"), F.col("plain").alias("text"))
     found = find_personal_data(source, limits)
     spans = (
         found.where((F.size("base") > 0) | (F.size("terms") > 0))
-        .select("row_key", F.concat("base", "terms").alias("_spans"))
+        .select("row_key", F.concat("base", "terms").alias("spans"))
         .dropDuplicates(["row_key"])
     )
-    key = F.xxhash64(F.col("doc_id").cast("string"), F.col("_text"))
+    key = F.xxhash64(F.col(doc_id).cast("string"), F.col("plain"))
     # The spans grow with the documents, so neither side is broadcast at any size.
-    joined = marked.withColumn("_row_key", key).hint("merge").join(
-        spans.withColumnRenamed("row_key", "_row_key"), "_row_key", "left"
+    joined = marked.withColumn("row_key", key).hint("merge").join(spans, "row_key", "left")
+    cleaned = F.when(F.col("spans").isNull(), F.col(text)).otherwise(
+        _replaced(F.col("plain"), F.col("spans"))
     )
-    cleaned = F.when(F.col("_spans").isNull(), F.col("text")).otherwise(
-        _replaced(F.col("_text"), F.col("_spans"))
-    )
-    out = joined.withColumn("text", cleaned)
-    if "n_chars" in documents.columns:
-        counted = F.when(F.col("_spans").isNull(), F.col("n_chars")).otherwise(F.length("text"))
-        out = out.withColumn("n_chars", counted.cast(documents.schema["n_chars"].dataType))
-    return out.select(*documents.columns)
+    out = joined.withColumn(text, cleaned)
+    if "n_chars" in (name.lower() for name in documents.columns):
+        chars = place("n_chars")
+        counted = F.when(F.col("spans").isNull(), F.col(chars)).otherwise(F.length(text))
+        out = out.withColumn(chars, counted.cast(own.schema[chars].dataType))
+    return out.select(*own.columns).toDF(*documents.columns)
 
 
 def _replaced(text: Column, spans: Column) -> Column:
