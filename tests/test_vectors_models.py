@@ -194,7 +194,7 @@ def test_model_queries_have_the_full_settings(monkeypatch):
         (PenalisedSpec(), (models.draw_settings(plan.TRIALS, catalog.SEED), ids), {}),
     ]
     assert called["learning_curve"] == [(closed, (plan.FRACTIONS, ids), {})]
-    assert catalog.BOOSTED == models.BoostedSpec()
+    assert catalog.PENALISED == PenalisedSpec()
     for name, spec in models.DEFAULT_MODELS.items():
         own = catalog.TABLE_MODELS[name]
         assert (replace(own, id_columns=spec.id_columns) if hasattr(spec, "id_columns") else own) == spec

@@ -127,8 +127,8 @@ class LogisticSpec:
 
 @dataclass(frozen=True)
 class CalibratedSvmSpec:
-    """Balanced linear SVM per fold; each fold's held-out rows fit a sigmoid on the margin,
-    and the probability is the mean over the folds."""
+    """Balanced linear SVM per fold; each fold's held-out rows fit a sigmoid on the margin
+    (``fit_sigmoid``), and the probability is the mean over the folds."""
 
     features: FeatureSpec = FeatureSpec(max_features=15_000)
     max_folds: int = 3
@@ -171,11 +171,27 @@ class CalibratedSvmSpec:
         held = svm.transform(ready.where(F.col("_fold") == fold)).withColumn(
             "_margin", F.get(vector_to_array("rawPrediction"), F.lit(1))
         )
-        margins = VectorAssembler(inputCols=["_margin"], outputCol="_margins").transform(
-            held.select(label, "_margin")
-        )
-        sigmoid = LogisticRegression(featuresCol="_margins", labelCol=label).fit(margins)
-        return svm, float(sigmoid.coefficients[0]), float(sigmoid.intercept)
+        return svm, *fit_sigmoid(held.select(label, "_margin"), label, "_margin")
+
+
+def fit_sigmoid(rows: DataFrame, label: str, margin: str) -> tuple[float, float]:
+    """Slope and intercept of the chance of a positive as a sigmoid of the margin.
+
+    The targets are smoothed, (p + 1) / (p + 2) for positives and 1 / (n + 2) for negatives with
+    ``p`` and ``n`` rows of either class, so classes that a margin separates get a finite
+    slope. A soft target is a row of each class, weighted by the target and its rest.
+    """
+    positive = F.col(label) == 1
+    counts = rows.agg(F.count_if(positive).alias("p"), F.count_if(~positive).alias("n")).first()
+    target = F.when(positive, (counts["p"] + 1.0) / (counts["p"] + 2.0)).otherwise(1.0 / (counts["n"] + 2.0))
+    sides = F.array(
+        F.struct(F.lit(1.0).alias("side"), target.alias(_WEIGHT)),
+        F.struct(F.lit(0.0).alias("side"), (1.0 - target).alias(_WEIGHT)),
+    )
+    soft = rows.select(margin, F.inline(sides))
+    margins = VectorAssembler(inputCols=[margin], outputCol="_margins").transform(soft)
+    sigmoid = LogisticRegression(featuresCol="_margins", labelCol="side", weightCol=_WEIGHT).fit(margins)
+    return float(sigmoid.coefficients[0]), float(sigmoid.intercept)
 
 
 @dataclass(frozen=True)

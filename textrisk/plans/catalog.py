@@ -634,7 +634,6 @@ TABLE_MODELS = {
     **models.DEFAULT_MODELS,
     "Linear SVM": replace(models.DEFAULT_MODELS["Linear SVM"], id_columns=("doc_id",)),
 }
-BOOSTED = models.BoostedSpec()
 PENALISED = PenalisedSpec()
 CLOSED_MODELS = {
     "Risk score": MeanCutSpec(),
@@ -741,7 +740,7 @@ def classifier_ratings(spark: SparkSession, folder: str) -> DataFrame:
 def boosted_metrics(spark: SparkSession, folder: str) -> DataFrame:
     """The boosted trees on the test rows."""
     train, test = _train_test(spark, folder)
-    rated = staged(BOOSTED.fit(train).predict(test).select("toxic", "score", "prediction"))
+    rated = staged(PENALISED.fit(train).predict(test).select("toxic", "score", "prediction"))
     metrics = evaluation.binary_metrics(rated, "toxic")
     area = evaluation.roc_auc(evaluation.score_points(rated, "toxic"))
     whole = metrics.withColumn("roc_auc", area.scalar())
@@ -765,9 +764,9 @@ def boosted_search(spark: SparkSession, folder: str) -> DataFrame:
 def feature_importance(spark: SparkSession, folder: str) -> DataFrame:
     """Of the most important features of the boosted trees: how many, and what holds of all."""
     train, _ = _train_test(spark, folder)
-    fitted = BOOSTED.fit(train)
+    fitted = PENALISED.fit(train)
     top = models.feature_importance(fitted, spark)
-    known = spark.createDataFrame([(name,) for name in fitted.features.names], "feature string")
+    known = spark.createDataFrame([(name,) for name in fitted.names], "feature string")
     return top.join(known, "feature", "left_semi").agg(
         F.count(F.lit(1)).alias("features"),
         F.count_distinct("feature").alias("names"),
