@@ -48,8 +48,10 @@ def read_message_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataF
 
 
 def stream_message_lines(spark: SparkSession, path: str) -> DataFrame:
-    """``read_message_lines`` as a stream over the files that arrive in a folder."""
-    return _flat_messages(spark.readStream.schema(MESSAGE_FIELDS).json(path))
+    """``read_message_lines`` as a stream over the files that arrive in a folder. A broken line
+    fails the batch it is in."""
+    lines = spark.readStream.schema(MESSAGE_FIELDS).option("mode", "FAILFAST")
+    return _flat_messages(lines.json(path))
 
 
 def _flat_messages(lines: DataFrame) -> DataFrame:
