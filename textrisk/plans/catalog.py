@@ -316,6 +316,32 @@ def resolved_labels(spark: SparkSession, folder: str) -> DataFrame:
     return resolved.groupBy("label_source", "toxic").agg(F.count(F.lit(1)).alias("rows"))
 
 
+@query
+def resolved_by_score(spark: SparkSession, folder: str) -> DataFrame:
+    """Labels of documents whose ``toxic`` is blank, but which have a column of scores."""
+    scored = inputs.labelled_documents(spark, folder).select(
+        "doc_id", F.lit("").alias("toxic"), F.least(F.col("caps_ratio") * 2, F.lit(1.0)).alias("Toxic-Score")
+    )
+    return labels.resolve_labels(staged(scored)).select("doc_id", "toxic", "label_source")
+
+
+@query
+def resolved_by_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """Labels of documents that have neither labels nor scores."""
+    numbers = inputs.document_numbers(spark, folder).withColumn("toxic", F.lit(None).cast("string"))
+    return labels.resolve_labels(numbers).select("doc_id", "toxic", "label_source")
+
+
+@query
+def training_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Labelled rows ready for training; some texts are blank or missing, some numbers are no numbers."""
+    labelled = inputs.labelled_documents(spark, folder, with_text=True)
+    text_ = F.when(F.col("doc_id") % 10 == 0, None).when(F.col("doc_id") % 5 == 0, " \n\t").otherwise(F.col("text"))
+    length = F.when(F.col("doc_id") % 7 == 0, "long").otherwise(F.col("char_len").cast("string"))
+    rows = labelled.withColumns({"text": text_, "char_len": length})
+    return labels.training_rows(rows).select("doc_id", "toxic", "label_source", "char_len")
+
+
 def _score_labels(spark: SparkSession, folder: str, scale: float) -> DataFrame:
     scored = inputs.labelled_documents(spark, folder)
     scored = staged(scored.select("doc_id", "quality", "caps_ratio")).select(
@@ -615,6 +641,21 @@ def quality_checks(spark: SparkSession, folder: str) -> DataFrame:
     return checks.message_checks(named)
 
 
+@query
+def planted_violations(spark: SparkSession, folder: str) -> DataFrame:
+    """The checks over messages and labels that break their rules."""
+    doc = F.col("doc_id")
+    rows = inputs.table(spark, folder, "documents").select(
+        F.when(doc % 4 == 0, "\u00a0 ").otherwise("said").alias("text"),
+        F.when(doc % 6 == 0, "user_7").when(doc % 9 == 0, None).otherwise("user_012").alias("user"),
+        doc.alias("raw_user_id"),
+    )
+    marks = inputs.table(spark, folder, "labels").select(
+        F.when(doc % 3 == 0, 2).when(doc % 5 == 0, None).otherwise(F.col("toxic")).alias("toxic")
+    )
+    return checks.message_checks(rows).crossJoin(checks.label_checks(marks).withColumnRenamed("rows", "labels"))
+
+
 @query
 def label_checks(spark: SparkSession, folder: str) -> DataFrame:
     return checks.label_checks(inputs.table(spark, folder, "labels"))

@@ -340,6 +340,19 @@ FROM marked WHERE mark IN ('0', '1')"""
 ORACLES["resolved_labels"] = f"""WITH {_MARKED}
 SELECT 'manual_binary' AS label_source, mark::INTEGER AS toxic, count(*) AS rows
 FROM marked WHERE mark IN ('0', '1') GROUP BY mark"""
+ORACLES["resolved_by_score"] = f"""WITH {_FEATURED}, given AS (
+  SELECT doc_id, least(caps_ratio * 2, 1.0::DOUBLE) AS score FROM featured JOIN labels USING (doc_id)),
+limits AS (SELECT CASE WHEN max(score) <= 1 THEN 0.5 ELSE 5 END::DOUBLE AS cut FROM given)
+SELECT doc_id, (score >= cut)::INTEGER AS toxic, 'Toxic-Score >= 0.5' AS label_source FROM given, limits"""
+ORACLES["resolved_by_rules"] = ORACLES["weak_labels"]
+ORACLES["training_rows"] = f"""WITH {_FEATURED}
+SELECT doc_id, l.toxic::INTEGER AS toxic, 'manual_binary' AS label_source,
+  CASE WHEN doc_id % 7 <> 0 THEN char_len END::DOUBLE AS char_len
+FROM featured JOIN labels l USING (doc_id) WHERE doc_id % 5 <> 0"""
+ORACLES["planted_violations"] = """SELECT count(*) AS rows, count(*) FILTER (doc_id % 4 = 0) AS empty_text,
+  count(*) FILTER (doc_id % 6 = 0 OR doc_id % 9 = 0) AS bad_pseudonym, 1::BIGINT AS raw_id_columns,
+  any_value(labels) AS labels, any_value(bad_label) AS bad_label
+FROM documents, (SELECT count(*) AS labels, count(*) FILTER (doc_id % 3 = 0 OR doc_id % 5 = 0) AS bad_label FROM labels)"""
 ORACLES["score_labels"] = "WITH " + _SCORES % "100.0::DOUBLE"
 ORACLES["score_labels_unit"] = "WITH " + _SCORES % "1.0::DOUBLE"
 ORACLES["score_scale"] = """SELECT event_type, max(value) AS largest,
