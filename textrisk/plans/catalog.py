@@ -685,10 +685,11 @@ CLOSED_MODELS = {
 CLOSED = MeanCutSpec()
 
 
-def _training_set(spark: SparkSession, folder: str) -> DataFrame:
-    labelled = inputs.labelled_documents(spark, folder, with_text=True)
+def _training_set(spark: SparkSession, folder: str, with_text: bool = True) -> DataFrame:
+    labelled = inputs.labelled_documents(spark, folder, with_text)
+    texts = ["text"] if with_text else []
     split = sampling.holdout_split(
-        staged(labelled.select("doc_id", "text", "toxic", *fixed.BOOSTED_FEATURES)),
+        staged(labelled.select("doc_id", *texts, "toxic", *fixed.BOOSTED_FEATURES)),
         "toxic", ["doc_id"], 0.2, SEED,
     )
     return split
@@ -700,8 +701,9 @@ def _train_test(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]
 
 
 def _train_numbers(spark: SparkSession, folder: str) -> DataFrame:
-    """The training rows without their texts, staged."""
-    return staged(_train_test(spark, folder)[0].drop("text", "is_test"))
+    """The training rows without their texts, staged: no text is shuffled."""
+    split = _training_set(spark, folder, with_text=False)
+    return staged(split.where(~F.col("is_test")).drop("is_test"))
 
 
 @query
