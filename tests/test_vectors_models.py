@@ -198,3 +198,20 @@ def test_model_queries_have_the_full_settings(monkeypatch):
     for name, spec in models.DEFAULT_MODELS.items():
         own = catalog.TABLE_MODELS[name]
         assert (replace(own, id_columns=spec.id_columns) if hasattr(spec, "id_columns") else own) == spec
+
+
+def test_terms_are_counted_in_the_batches_of_a_map(spark, monkeypatch):
+    """No step over the elements of an array by Spark, and any number of terms in a batch."""
+    rows = [(1, ["b", "a", "b", None, "é", "b"]), (2, None), (3, []), (None, ["c"]), (1, ["a"] * 5), (4, [None])]
+    frame = spark.createDataFrame(rows, "id int, terms array<string>").coalesce(1)
+    expected = [
+        (1, [("a", 1), ("b", 3), ("é", 1)]), (2, None), (3, []), (None, [("c", 1)]), (1, [("a", 5)]), (4, []),
+    ]
+    counted = textvec.count_terms(frame, ["id"])
+    found = [(r.id, r.counts and [tuple(c) for c in r.counts]) for r in counted.collect()]
+    assert found == expected
+    assert "MapInArrow" in counted._jdf.queryExecution().executedPlan().toString()
+    assert "lambdafunction" not in counted._jdf.queryExecution().executedPlan().toString().lower()
+    monkeypatch.setattr(textvec, "_TERMS_AT_ONCE", 3)
+    few = textvec.count_terms(frame, ["id"]).collect()
+    assert [(r.id, r.counts and [tuple(c) for c in r.counts]) for r in few] == found
