@@ -18,7 +18,6 @@ from pyspark.ml.classification import (
     GBTClassifier,
     LinearSVC,
     LogisticRegression,
-    RandomForestClassifier,
 )
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
@@ -28,6 +27,7 @@ from pyspark.sql import functions as F
 
 from textrisk.functions import fixed
 from textrisk.operators.evaluation import binary_metrics
+from textrisk.operators.forest import ForestSettings, grow_forest
 from textrisk.operators.ordering import top_rows
 from textrisk.operators.sampling import assign_folds, learning_prefixes, stratified_subsample
 from textrisk.operators.studies import Fit, rate_fits
@@ -73,13 +73,10 @@ def positive_weight(label: str, counts: ClassCounts) -> Column:
     return F.when(F.col(label) == 1, F.lit(float(counts.pos_weight))).otherwise(F.lit(1.0))
 
 
-#: Partitions of a training set, at most: every training iteration is a job over all of them.
-TRAINING_PARTITIONS = 16
-
-
 def _ready(vectors: DataFrame) -> DataFrame:
-    """Vectors made with all tasks and staged, then read by a fixed number of them."""
-    return staged(vectors).coalesce(TRAINING_PARTITIONS)
+    """Vectors made with all tasks and staged, then dealt evenly, one part per core: every
+    training iteration is a job over all parts."""
+    return staged(vectors).repartition(vectors.sparkSession.sparkContext.defaultParallelism)
 
 
 @dataclass(frozen=True)
@@ -114,9 +111,11 @@ class LogisticSpec:
     max_iter: int = 1000
     c: float = 1.0
 
-    def fit(self, train: DataFrame, label: str = "toxic") -> FittedClassifier:
+    def fit(
+        self, train: DataFrame, label: str = "toxic", block: FeatureModel | None = None
+    ) -> FittedClassifier:
         counts = count_classes(train, label)
-        block = self.features.fit(train)
+        block = block or self.features.fit(train)
         ready = block.transform(train).withColumn(_WEIGHT, balanced_weight(label, counts))
         model = LogisticRegression(
             featuresCol=_VECTOR, labelCol=label, weightCol=_WEIGHT, maxIter=self.max_iter,
@@ -136,10 +135,12 @@ class CalibratedSvmSpec:
     id_columns: Sequence[str] = ("message_hash",)
     seed: int = fixed.DEFAULT_SEED
 
-    def fit(self, train: DataFrame, label: str = "toxic") -> FittedClassifier:
+    def fit(
+        self, train: DataFrame, label: str = "toxic", block: FeatureModel | None = None
+    ) -> FittedClassifier:
         counts = count_classes(train, label)
         folds = max(2, min(self.max_folds, counts.smallest))
-        block = self.features.fit(train)
+        block = block or self.features.fit(train)
         ready = assign_folds(train, label, self.id_columns, folds, self.seed, "_fold")
         ready = block.transform(ready).withColumn(_WEIGHT, balanced_weight(label, counts))
         ready = _ready(ready.select(label, _VECTOR, _WEIGHT, "_fold"))
@@ -196,23 +197,26 @@ def fit_sigmoid(rows: DataFrame, label: str, margin: str) -> tuple[float, float]
 
 @dataclass(frozen=True)
 class ForestSpec:
-    """Balanced random forest. MLlib trees are at most 30 levels deep."""
+    """Balanced random forest (``forest``), grown level by level on the whole cluster."""
 
     features: FeatureSpec = FeatureSpec(max_features=5_000)
     trees: int = 300
     min_leaf: int = 2
     depth: int = 30
     seed: int = fixed.DEFAULT_SEED
+    #: Its long stages would hold up the many short jobs of other fits.
+    alone = True
 
-    def fit(self, train: DataFrame, label: str = "toxic") -> FittedClassifier:
+    def fit(
+        self, train: DataFrame, label: str = "toxic", block: FeatureModel | None = None
+    ) -> FittedClassifier:
         counts = count_classes(train, label)
-        block = self.features.fit(train)
-        ready = block.transform(train).withColumn(_WEIGHT, balanced_weight(label, counts))
-        model = RandomForestClassifier(
-            featuresCol=_VECTOR, labelCol=label, weightCol=_WEIGHT, numTrees=self.trees,
-            minInstancesPerNode=self.min_leaf, maxDepth=self.depth, seed=self.seed,
-        ).fit(_ready(ready.select(label, _VECTOR, _WEIGHT)))
-        return FittedClassifier(block, lambda df: _positive(model, df), model)
+        block = block or self.features.fit(train)
+        ready = staged(block.transform(train).select(label, _VECTOR))
+        factors = [float(counts.balanced.get(value, 1.0)) for value in (0, 1)]
+        settings = ForestSettings(self.trees, self.depth, self.min_leaf, self.seed)
+        model = grow_forest(ready, label, _VECTOR, len(block.names), factors, settings)
+        return FittedClassifier(block, lambda df: model.score(df, _VECTOR, "_probability"), model)
 
 
 @dataclass(frozen=True)
@@ -232,9 +236,11 @@ class BoostedSpec:
     min_leaf: int = 1
     seed: int = fixed.DEFAULT_SEED
 
-    def fit(self, train: DataFrame, label: str = "toxic") -> FittedClassifier:
+    def fit(
+        self, train: DataFrame, label: str = "toxic", block: FeatureModel | None = None
+    ) -> FittedClassifier:
         counts = count_classes(train, label)
-        block = self.features.fit(train)
+        block = block or self.features.fit(train)
         ready = block.transform(train).withColumn(_WEIGHT, positive_weight(label, counts))
         model = GBTClassifier(
             featuresCol=_VECTOR, labelCol=label, weightCol=_WEIGHT, maxIter=self.rounds,
@@ -285,13 +291,26 @@ def fit_all(
     label: str = "toxic",
     parallelism: int = 3,
 ) -> tuple[dict[str, FittedClassifier], DataFrame]:
-    """Fit every model and rate it on the test rows: the models and their leaderboard."""
+    """Fit every model and rate it on the test rows: the models and their leaderboard.
+
+    Specs that are to be ``alone`` are fitted one by one after the others. Specs of equal
+    features share the fitted block.
+    """
+    blocks: list[FeatureModel] = []
+    for features in [getattr(spec, "features", None) for spec in models.values()]:
+        if isinstance(features, FeatureSpec) and all(block.spec != features for block in blocks):
+            blocks.append(features.fit(train))
 
     def fit(spec) -> tuple[FittedClassifier, dict]:
-        model = spec.fit(train, label)
+        known = [block for block in blocks if block.spec == getattr(spec, "features", None)]
+        model = spec.fit(train, label, *known)
         return model, _rate(model, test, label, F.lit(True))[0]
 
-    done = dict(zip(models, _submit(fit, list(models.values()), parallelism)))
+    alone = [name for name, spec in models.items() if getattr(spec, "alone", False)]
+    done = {}
+    for names, at_once in (([n for n in models if n not in alone], parallelism), (alone, 1)):
+        done |= zip(names, _submit(fit, [models[name] for name in names], at_once))
+    done = {name: done[name] for name in models}
     rows = [(name, rating["f1"], rating["roc_auc"]) for name, (_, rating) in done.items()]
     board = train.sparkSession.createDataFrame(rows, "model string, f1 double, roc_auc double")
     return {name: model for name, (model, _) in done.items()}, leaderboard(board)

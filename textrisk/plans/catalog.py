@@ -769,7 +769,7 @@ def _ratings(scored: DataFrame, *names: str) -> DataFrame:
 
 @query
 def classifier_ratings(spark: SparkSession, folder: str) -> DataFrame:
-    """The MLlib classifiers with their default settings, on the test rows."""
+    """The linear classifiers and the forest with their default settings, on the test rows."""
     train, test = _train_test(spark, folder)
     fitted, _ = models.fit_all(train, test, TABLE_MODELS)
     scored = [

@@ -58,6 +58,19 @@ def staged(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def unstaged(df: DataFrame) -> None:
+    """Remove a table that ``staged`` returned, when nothing will read it any more."""
+    names = {file.rsplit("/", 2)[-2] for file in df.inputFiles()}
+    for path in [path for path in _made if path.rsplit("/", 1)[-1] in names]:
+        _delete(df.sparkSession, path)
+        _made.remove(path)
+
+
+def _delete(spark: SparkSession, name: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 @contextmanager
 def staging(spark: SparkSession) -> Iterator[None]:
     """Remove, at the end of the block, every table staged inside it.
@@ -68,10 +81,8 @@ def staging(spark: SparkSession) -> Iterator[None]:
     try:
         yield
     finally:
-        jvm = spark.sparkContext._jvm
         for name in _made[before:]:
-            path = jvm.org.apache.hadoop.fs.Path(name)
-            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+            _delete(spark, name)
         del _made[before:]
 
 
