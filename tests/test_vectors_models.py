@@ -6,12 +6,13 @@ import re
 from collections import Counter
 from dataclasses import replace
 
+import pyarrow as pa
 import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from textrisk.functions.risk import Lexicon, add_features
-from textrisk.operators import models, textvec
+from textrisk.operators import frequent_terms, models, textvec
 from textrisk.operators.boosted_fits import PenalisedSpec
 from textrisk.operators.meancut import MeanCutSpec, draw_cuts
 from textrisk.operators.sampling import holdout_split
@@ -90,6 +91,65 @@ def test_tfidf_as_rows_and_as_vectors(spark, sublinear, max_df):
         assert {t: v for t, v in zip(model.terms, r.v) if v} == pytest.approx(expected[r.i])
 
 
+@pytest.mark.parametrize("most", [0, 200_000])
+def test_weights_of_texts_that_share_a_key(spark, monkeypatch, most):
+    """They share one length, null keys too; the way of large vocabularies gives the same. No term is shuffled
+    while the vocabulary is small."""
+    texts = [(1, "tea cup tea"), (1, "cup pot"), (None, "tea pot"), (None, None), (None, "cup"), (2, "tea tea"), (3, "none here")]
+    frame = spark.createDataFrame(texts, "i int, text string")
+    counted = textvec.count_terms(textvec.add_terms(frame, "text", (1, 1)), ["i"])
+    terms = spark.createDataFrame([("cup", 1.5, 3), ("pot", 2.0, 2), ("tea", 1.0, 3)], "term string, idf double, df int")
+    monkeypatch.setattr(textvec, "BROADCAST_ROWS", most)
+    weights = textvec.term_weights(counted, terms, ["i"])
+    if most:
+        assert "Window" not in (plan := weights._jdf.queryExecution().toString()) and "RepartitionByExpression" not in plan
+    rows = weights.collect()
+    one, none = math.sqrt(4 + 1.5**2 + 1.5**2 + 4), math.sqrt(1 + 4 + 1.5**2)
+    assert sorted((r.i or 0, r.term, round(r.weight, 9)) for r in rows) == sorted(
+        (i, term, round(weight, 9)) for i, term, weight in [
+            (1, "tea", 2 / one), (1, "cup", 1.5 / one), (1, "cup", 1.5 / one), (1, "pot", 2 / one),
+            (0, "tea", 1 / none), (0, "pot", 2 / none), (0, "cup", 1.5 / none), (2, "tea", 1.0),
+        ]
+    )
+
+
+@pytest.mark.parametrize("told, sublinear, max_df", [(4, False, 1.0), (40, True, 0.3), (1, False, 0.5)])
+def test_weights_of_frequent_terms_without_counting_all(spark, monkeypatch, told, sublinear, max_df):
+    """As by counting all terms, in whatever parts tasks count, also where the told terms do not suffice."""
+    texts = [t for _, t, _ in small_texts(90)] + ["", "tea tea tea cup", "x", "aa aa aa aa aa aa", "one"]
+    expected = python_tfidf(texts, 2, 12, sublinear, max_df)
+    frame = spark.createDataFrame(list(enumerate(texts)), "i int, text string").repartition(5)
+    ways = []
+    chosen = frequent_terms._candidates
+    monkeypatch.setattr(frequent_terms, "_candidates", lambda *a: ways.append(chosen(*a)) or ways[-1])
+    rows = frequent_terms.weigh_frequent(frame, ["i"], 12, 2, max_df, sublinear, told).collect()
+    assert (ways[0] is None) == (told == 1) and (told == 1 or len(ways[0]) >= 12)
+    as_rows = [{} for _ in texts]
+    for r in rows:
+        as_rows[r.i][r.term] = r.weight
+    for i, wanted in enumerate(expected):
+        assert as_rows[i] == pytest.approx(wanted)
+
+
+def test_terms_told_by_a_task_do_not_depend_on_its_parts(monkeypatch):
+    texts = [t for _, t, _ in small_texts(40)] + ["", "aa bb aa bb"]
+    words = pa.record_batch([pa.array([" ".join(re.findall(r"\w{2,}", t.lower())) for t in texts])], ["words"])
+    found = []
+    for at_once in (1, 20, 500_000):
+        for name in ("_WORDS_AT_ONCE", "_WAITING", "_TERMS_AT_ONCE"):
+            monkeypatch.setattr(frequent_terms, name, at_once)
+        told = [r for part in frequent_terms._told([words], 10**6) for r in part.to_pylist()]
+        sums = {r["term"]: [0, 0, 0] for r in told}
+        for r in told:
+            sums[r["term"]] = [a + r[name] for a, name in zip(sums[r["term"]], ("df", "cf", "untold"))]
+        found.append({term: tuple(own) for term, own in sums.items()})
+    assert found[0] == found[1] == found[2]
+    counts = [Counter(python_terms(t, 2)) for t in words.column(0).to_pylist()]
+    for term, (df, cf, untold) in found[0].items():
+        own = [c[term] for c in counts if c[term]] if term else [len(c) for c in counts]
+        assert (df, cf, untold) == ((len(own), sum(own), 0) if term else (sum(own), 0, 0))
+
+
 def test_numeric_fit_uses_training_rows_only(spark):
     train = spark.createDataFrame([(1.0,), (2.0,), (3.0,), (10.0,), (None,)], "x double")
     fitted = textvec.numeric_fit(train, ["x"])["x"]

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -17,12 +18,12 @@ from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normali
 from pyspark.ml.linalg import DenseVector, SparseVector, VectorUDT
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StringType, StructField, StructType
 
 from textrisk.functions import fixed, text
-from textrisk.operators.lookups import join_lookup
+from textrisk.operators.lookups import BROADCAST_ROWS, join_lookup
 from textrisk.operators.quantiles import exact_quantiles, value_cell
-from textrisk.session import staged_folder
+from textrisk.session import staged, staged_folder
 
 
 def add_terms(
@@ -141,22 +142,113 @@ def _most_frequent(terms: DataFrame, count: int) -> DataFrame:
 def term_weights(
     counted: DataFrame, terms: DataFrame, keys: Sequence[str], sublinear: bool = False
 ) -> DataFrame:
-    """TF-IDF as rows ``keys, term, weight``, each text scaled to length 1.
+    """TF-IDF as rows ``keys, term, weight``; the weights of each ``keys`` have length 1.
 
-    ``counted`` has one row per ``keys`` (``count_terms``), ``terms`` is a staged vocabulary.
-    The texts are partitioned by their keys before they become rows per term, and a vocabulary
-    of a checked size is broadcast, so the sum over a text's terms moves no row. A larger
-    vocabulary is shuffled, with its frequent terms in slices.
+    ``counted`` has a row per text (``count_terms``), ``terms`` is a staged vocabulary. One of a
+    checked size goes to all tasks: only counts of its terms are staged, and the squares of texts are
+    summed by key, so that no term is shuffled. With a larger one the counts are partitioned by
+    their keys and the vocabulary is shuffled, with its frequent terms in slices.
     """
-    tf = F.log(F.col("tf").cast("double")) + 1.0 if sublinear else F.col("tf").cast("double")
+    if terms.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        return _weights_of_few(counted, terms, keys, sublinear)
     rows = one_per_term(counted.repartition(*keys), keys)
     known = join_lookup(rows, terms.select("term", "idf", "df"), "term", "df")
+    raw = _damped(F.col("tf"), sublinear) * F.col("idf")
     length = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy(*keys)))
-    return known.select(*keys, "term", (tf * F.col("idf")).alias("raw")).select(
+    return known.select(*keys, "term", raw.alias("raw")).select(
         *keys, "term", (F.col("raw") / length).alias("weight")
     )
 
 
+def _damped(tf: Column, sublinear: bool) -> Column:
+    return F.log(tf.cast("double")) + 1.0 if sublinear else tf.cast("double")
+
+
+def _weights_of_few(
+    counted: DataFrame, terms: DataFrame, keys: Sequence[str], sublinear: bool
+) -> DataFrame:
+    # At most BROADCAST_ROWS rows, here and in every task.
+    found = terms.select("term", "idf").toArrow().combine_chunks()
+    known = staged(_known_counts(counted, found.column("term"), keys))
+    places = np.arange(found.num_rows)
+    return _weigh(known, places, found.column("term"), found.column("idf").to_numpy(), keys, sublinear)
+
+
+_KNOWN = StructType([StructField("place", IntegerType()), StructField("tf", IntegerType())])
+
+
+def _known_counts(counted: DataFrame, terms: pa.ChunkedArray, keys: Sequence[str]) -> DataFrame:
+    """Per text the counts of the vocabulary's terms, by their place in it."""
+    rows = counted.select(*keys, "counts")
+    kept, vocabulary = rows.drop("counts").schema.fields, terms.combine_chunks()
+
+    def work(batches):
+        for batch in batches:
+            lists = batch.column(batch.num_columns - 1)
+            row = np.repeat(np.arange(len(lists)), lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
+            term, tf = lists.flatten().flatten()
+            place = pc.index_in(term, value_set=vocabulary.cast(term.type))
+            some = np.flatnonzero(place.is_valid().to_numpy(zero_copy_only=False))
+            counts = _lists_of(row[some], place.take(pa.array(some)), tf.take(pa.array(some)), len(lists))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], counts], [*(one.name for one in kept), "counts"])
+
+    return rows.mapInArrow(work, StructType([*kept, StructField("counts", ArrayType(_KNOWN))]))
+
+
+def _lists_of(row: np.ndarray, place, tf, rows: int) -> pa.ListArray:
+    """A list per row; entries are ordered by row."""
+    offsets = np.searchsorted(row, np.arange(rows + 1)).astype(np.int32)
+    pairs = pa.StructArray.from_arrays([pa.array(place, pa.int32()), pa.array(tf, pa.int32())], ["place", "tf"])
+    return pa.ListArray.from_arrays(pa.array(offsets), pairs)
+
+
+def _weigh(
+    known: DataFrame, places: np.ndarray, terms: pa.ChunkedArray, idf: np.ndarray, keys: Sequence[str], sublinear: bool
+) -> DataFrame:
+    """TF-IDF rows of the staged counts of ``known``, of the terms at ``places`` only."""
+    kept = known.drop("counts").schema.fields
+    weight_at = np.full(int(places.max(initial=-1)) + 1, np.nan)
+    weight_at[places] = idf
+
+    def work(batches):
+        for batch in batches:
+            lists = batch.column(batch.num_columns - 1)
+            row = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy(zero_copy_only=False))
+            place, tf = (part.to_numpy(zero_copy_only=False) for part in lists.flatten().flatten())
+            some = np.flatnonzero(place < len(weight_at))
+            some = some[~np.isnan(weight_at[place[some]])]
+            row, place, tf = row[some], place[some], tf[some]
+            raw = (np.log(tf) + 1.0 if sublinear else tf.astype(float)) * weight_at[place]
+            square = np.bincount(row, raw * raw, len(lists)).astype(float)  # whole numbers without rows
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:-1], _lists_of(row, place, tf, len(lists)), pa.array(square)],
+                [*(one.name for one in kept), "counts", "square"],
+            )
+
+    texts = known.mapInArrow(
+        work, StructType([*kept, StructField("counts", ArrayType(_KNOWN)), StructField("square", DoubleType())])
+    )
+    # Texts that share their keys share one length; most have keys of their own.
+    shared = staged(
+        texts.groupBy(*[F.col(key).alias(f"_{key}") for key in keys])
+        .agg(F.count(F.lit(1)).alias("_texts"), F.sum("square").alias("_square"))
+        .where("_texts > 1").drop("_texts")
+    )
+    same = reduce(lambda a, b: a & b, [F.col(key).eqNullSafe(F.col(f"_{key}")) for key in keys])
+    if shared.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        texts = texts.join(F.broadcast(shared), same, "left")
+    else:
+        texts = texts.hint("merge").join(shared, same, "left")
+    # As many rows as the vocabulary has terms.
+    numbered = known.sparkSession.createDataFrame(
+        pa.table({"place": pa.array(places, pa.int32()), "term": terms, "idf": pa.array(idf, pa.float64())})
+    )
+    length = F.sqrt(F.coalesce("_square", "square"))
+    rows = texts.select(*keys, length.alias("_length"), F.inline_outer("counts")).where(F.col("place").isNotNull())
+    weight = _damped(F.col("tf"), sublinear) * F.col("idf") / F.col("_length")
+    return rows.join(F.broadcast(numbered), "place").select(*keys, "term", weight.alias("weight"))
+
+
 @F.udf(returnType=VectorUDT(), useArrow=True)
 def _log_counts(counts):
     """1 + ln(count) for the counts present; MLlib has no such transformer."""

@@ -24,6 +24,7 @@ from textrisk.operators import (
     trends,
 )
 from textrisk.operators.boosted_fits import PenalisedSpec
+from textrisk.operators.frequent_terms import weigh_frequent
 from textrisk.operators.meancut import MeanCutSpec, draw_cuts
 from textrisk.operators.quantiles import exact_quantiles
 from textrisk.plans import inputs, training
@@ -486,10 +487,8 @@ def vocabulary_max_df(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _weights(spark: SparkSession, folder: str, sublinear: bool, **limits) -> DataFrame:
-    counted = staged(_counted(spark, folder, (1, 2)))
-    counts = textvec.one_per_term(counted, ["doc_id"])
-    terms = staged(_vocabulary(counts, spark, folder, **limits))
-    return rounded(textvec.term_weights(counted, terms, ["doc_id"], sublinear), ["weight"])
+    documents = inputs.clean_documents(spark, folder).select("doc_id", "text")
+    return rounded(weigh_frequent(documents, ["doc_id"], sublinear=sublinear, **limits), ["weight"])
 
 
 @query
